@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from .decontaminate import op2_decontaminate
+from .simhash import op10_simhash
 from .substring_dedup import op7_substring_dedup
 
 QUERIES = {
+    "op2_decontaminate": op2_decontaminate,
     "op7_substring_dedup": op7_substring_dedup,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
