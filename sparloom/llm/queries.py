@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from .decontaminate import op2_decontaminate
+from .packing import op1_best_fit_packing
 from .simhash import op10_simhash
 from .substring_dedup import op7_substring_dedup
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontaminate": op2_decontaminate,
     "op7_substring_dedup": op7_substring_dedup,
     "op10_simhash": op10_simhash,
