@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import chat
+from .chat import op4_chat_format
 from .decontaminate import op2_decontaminate
 from .packing import op1_best_fit_packing
 from .simhash import op10_simhash
@@ -10,8 +12,11 @@ from .substring_dedup import op7_substring_dedup
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontaminate": op2_decontaminate,
+    "op4_chat_format": op4_chat_format,
     "op7_substring_dedup": op7_substring_dedup,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_chat_format": chat.ORACLE_SQL,
+}
