@@ -6,6 +6,7 @@ from . import chat
 from .chat import op4_chat_format
 from .decontaminate import op2_decontaminate
 from .packing import op1_best_fit_packing
+from .quality import op5_quality
 from .simhash import op10_simhash
 from .substring_dedup import op7_substring_dedup
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontaminate": op2_decontaminate,
     "op4_chat_format": op4_chat_format,
+    "op5_quality": op5_quality,
     "op7_substring_dedup": op7_substring_dedup,
     "op10_simhash": op10_simhash,
 }
