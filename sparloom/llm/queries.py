@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import chat
 from .chat import op4_chat_format
 from .decontaminate import op2_decontaminate
+from .html_extract import op3_html_extract
 from .packing import op1_best_fit_packing
 from .quality import op5_quality
 from .simhash import op10_simhash
@@ -13,6 +14,7 @@ from .substring_dedup import op7_substring_dedup
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontaminate": op2_decontaminate,
+    "op3_html_extract": op3_html_extract,
     "op4_chat_format": op4_chat_format,
     "op5_quality": op5_quality,
     "op7_substring_dedup": op7_substring_dedup,
