@@ -6,6 +6,7 @@ from . import chat
 from .chat import op4_chat_format
 from .decontaminate import op2_decontaminate
 from .html_extract import op3_html_extract
+from .nearest import op8_nearest
 from .packing import op1_best_fit_packing
 from .quality import op5_quality
 from .simhash import op10_simhash
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_chat_format": op4_chat_format,
     "op5_quality": op5_quality,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_nearest": op8_nearest,
     "op10_simhash": op10_simhash,
 }
 
