@@ -11,6 +11,7 @@ from .packing import op1_best_fit_packing
 from .quality import op5_quality
 from .simhash import op10_simhash
 from .substring_dedup import op7_substring_dedup
+from .suffix_dedup import op6_suffix_dedup
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_html_extract": op3_html_extract,
     "op4_chat_format": op4_chat_format,
     "op5_quality": op5_quality,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_nearest": op8_nearest,
     "op10_simhash": op10_simhash,
