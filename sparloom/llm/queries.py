@@ -6,6 +6,7 @@ from . import chat
 from .chat import op4_chat_format
 from .decontaminate import op2_decontaminate
 from .html_extract import op3_html_extract
+from .license_scan import op9_license_scan
 from .nearest import op8_nearest
 from .packing import op1_best_fit_packing
 from .quality import op5_quality
@@ -22,6 +23,7 @@ QUERIES = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_nearest": op8_nearest,
+    "op9_license_scan": op9_license_scan,
     "op10_simhash": op10_simhash,
 }
 
