@@ -225,3 +225,16 @@ def first_of_runs(*columns: np.ndarray) -> np.ndarray:
         for c in columns:
             new[1:] |= c[1:] != c[:-1]
     return new
+
+
+def merge_by_row(ids, tids, lo, hi):
+    """Join touching start ranges [lo, hi] of one row; several copies of a row count as one."""
+    if not len(ids):
+        return ids, tids, lo.astype(np.int64), hi.astype(np.int64)
+    order = np.lexsort((lo, tids, ids))
+    ids, tids, lo, hi = ids[order], tids[order], lo[order].astype(np.int64), hi[order].astype(np.int64)
+    new = first_of_runs(ids, tids)
+    rank, span = np.cumsum(new) - 1, int(hi.max()) + 3
+    a, b = merge_ranges(rank * span + lo, rank * span + hi + 1)
+    at = np.flatnonzero(new)[a // span]
+    return ids[at], tids[at], a % span, b - a // span * span - 1

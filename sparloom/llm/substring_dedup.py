@@ -22,7 +22,8 @@ made.  Extents and windows are compared by 128 bits of hash.
 Defined cases: null or empty texts have no words and stay as they are; a text of
 under 20 words loses nothing; rows with one id count as one document (windows at
 the same start are not earlier than each other), null ids as one document before
-all others; extra columns pass through untouched.
+all others; extra columns pass through untouched (a struct column is added under
+a fresh name).
 """
 
 from __future__ import annotations
@@ -39,7 +40,8 @@ from . import common as c
 _SPACE = [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]
 WORD = np.ones(256, bool)
 WORD[_SPACE] = False
-FOUND = "key long, alt long, kind int, id long, lo int, hi int"
+FOUND = "key long, alt long, kind int, id long, tid long, lo int, hi int"
+ROW = ["id", "tid", "lo", "hi"]
 LOCAL, REMOTE = 1, 0
 
 
@@ -54,44 +56,36 @@ class _Words:
         return c.Prefix(c.LUT_A[self.data]).hash(self.starts, self.ends)
 
 
-def _settle(key, alt, ids, lo, hi, length):
+def _settle(key, alt, ids, tids, lo, hi):
     """Join the rows of one batch: which are first of their kind, which repeat an earlier one.
 
     Returns an Arrow batch of FOUND: first rows to be joined with other batches
-    (REMOTE), and merged word ranges of the others (LOCAL).
+    (REMOTE), and merged ranges of window starts of the others (LOCAL).
     """
-    order = np.lexsort((lo, ids, alt, key))
-    key, alt, ids, lo, hi = (x[order] for x in (key, alt, ids, lo, hi))
+    order = np.lexsort((tids, lo, ids, alt, key))
+    key, alt, ids, tids, lo, hi = (x[order] for x in (key, alt, ids, tids, lo, hi))
     new = c.first_of_runs(key, alt)
-    group = np.cumsum(new) - 1
-    at = np.flatnonzero(new)[group] if len(key) else group
+    keep = np.flatnonzero(new)
+    at = keep[np.cumsum(new) - 1]
     later = (ids > ids[at]) | (lo > lo[at])
-    keep = np.flatnonzero(new)  # one row stands for a group; ties have the same start
+    # rows of one start and id tie; each row's own text is to be looked up, so each stays
+    keep = np.flatnonzero(~later & (new | (tids != np.roll(tids, 1))))
     gone = np.flatnonzero(later)
-    # the ranges of rows that repeat an earlier one, merged by document
-    ids_l, lo_l, hi_l = ids[gone], lo[gone].astype(np.int64), hi[gone].astype(np.int64)
-    if len(gone):
-        names, rank = np.unique(ids_l, return_inverse=True)
-        span = int(hi_l.max()) + length + 2
-        a, b = c.merge_ranges(rank * span + lo_l, rank * span + hi_l + 1)
-        doc = a // span
-        ids_l, lo_l, hi_l = names[doc], a - doc * span, b - doc * span - 1
-    own = c.signed(c.mix(ids_l.view(np.uint64) + c.U(77)))
+    ids_l, tids_l, lo_l, hi_l = c.merge_by_row(ids[gone], tids[gone], lo[gone], hi[gone])
+    own = c.signed(c.mix(ids_l.view(np.uint64) + tids_l.view(np.uint64)))
     kind = np.repeat(np.array([REMOTE, LOCAL], np.int32), [len(keep), len(ids_l)])
     cat = np.concatenate
-    return pa.RecordBatch.from_arrays(
-        [pa.array(x) for x in (cat([c.signed(key[keep]), own]), cat([c.signed(alt[keep]), own]), kind, cat([ids[keep], ids_l]), cat([lo[keep], lo_l]).astype(np.int32), cat([hi[keep], hi_l]).astype(np.int32))],
-        names=["key", "alt", "kind", "id", "lo", "hi"],
-    )
+    columns = [cat([c.signed(key[keep]), own]), cat([c.signed(alt[keep]), own]), kind, cat([ids[keep], ids_l]), cat([tids[keep], tids_l]), cat([lo[keep], lo_l]).astype(np.int32), cat([hi[keep], hi_l]).astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "alt", "kind", *ROW])
 
 
 def _seed(length: int, gram: int):
-    """Anchors of each batch of (id, text); lo and hi are the first and last window start."""
+    """Anchors of each batch of (id, tid, text); lo and hi are the first and last window start."""
 
     def run(batches):
         for batch in batches:
-            ids_all = batch.column(0).to_numpy(zero_copy_only=False)
-            data, off = c.text_buffers(batch.column(1))
+            ids_all, tids_all = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            data, off = c.text_buffers(batch.column(2))
             parts = []
             for i, j, part, poff in c.chunks(data, off):
                 words = _Words(part, poff)
@@ -111,21 +105,21 @@ def _seed(length: int, gram: int):
                 # the extent's content and the anchor's place in it
                 alt = c.Prefix(wh).hash(lo, hi + length) ^ c.mix((at - lo).astype(np.uint64))
                 r = row[lo]
-                parts.append((key, alt, ids_all[i:j][r], lo - words.first[r], hi - words.first[r]))
+                parts.append((key, alt, ids_all[i:j][r], tids_all[i:j][r], lo - words.first[r], hi - words.first[r]))
             if parts:
-                yield _settle(*(np.concatenate(x) for x in zip(*parts)), length)
+                yield _settle(*(np.concatenate(x) for x in zip(*parts)))
 
     return run
 
 
 def _extend(length: int):
-    """All windows of the marked extents: batches of (id, text, [(lo, hi)])."""
+    """All windows of the marked extents: batches of (id, tid, text, [(lo, hi)])."""
 
     def run(batches):
         for batch in batches:
-            ids_all = batch.column(0).to_numpy(zero_copy_only=False)
-            data, off = c.text_buffers(batch.column(1))
-            marks = batch.column(2)
+            ids_all, tids_all = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            data, off = c.text_buffers(batch.column(2))
+            marks = batch.column(3)
             lo_all = marks.values.field("lo").to_numpy(zero_copy_only=False)
             hi_all = marks.values.field("hi").to_numpy(zero_copy_only=False)
             moff = np.asarray(marks.offsets)
@@ -143,9 +137,9 @@ def _extend(length: int):
                 at = words.first[r] + start
                 key = c.Prefix(wh).hash(at, at + length)
                 alt = c.Prefix(c.mix(wh + c.U(1))).hash(at, at + length)
-                parts.append((key, alt, ids_all[i:j][r], start, start))
+                parts.append((key, alt, ids_all[i:j][r], tids_all[i:j][r], start, start))
             if parts:
-                yield _settle(*(np.concatenate(x) for x in zip(*parts)), length)
+                yield _settle(*(np.concatenate(x) for x in zip(*parts)))
 
     return run
 
@@ -202,12 +196,12 @@ def _joined(found: DataFrame, classes: bool) -> DataFrame:
         found = found.where((F.col("place") > 1) | F.col("many"))
     else:
         found = found.where(F.col("place") > 1)
-    return found.select("id", "lo", "hi", (F.col("place") > 1).alias("gone"))
+    return found.select(*ROW, (F.col("place") > 1).alias("gone"))
 
 
 def _by_id(rows: DataFrame, name: str) -> DataFrame:
-    """The ranges of a document in one row: bounded by the document's length."""
-    return rows.groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias(name))
+    """The ranges of a document (id, hash of text) in one row: bounded by its length."""
+    return rows.groupBy("id", "tid").agg(F.collect_list(F.struct("lo", "hi")).alias(name))
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 20, gram: int = 8, out: str = "dedup") -> DataFrame:
@@ -218,18 +212,22 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     spark = docs.sparkSession
     ws = c.Workspace(spark, "substring")
-    slim = docs.select(c.id_key(F.col(id_col)).alias("id"), F.col(text_col).cast("string").alias("body"))
+    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    slim = docs.select(c.id_key(F.col(id_col)).alias("id"), F.xxhash64(body).alias("tid"), body.alias("body"))
     first = ws.save(_joined(slim.mapInArrow(_seed(length, gram), FOUND), True), "extents")
     ws.tidy()
     open_ = _by_id(first.where(~F.col("gone")).distinct(), "marks")
-    windows = slim.join(open_, "id").select("id", "body", "marks").mapInArrow(_extend(length), FOUND)
+    windows = slim.join(open_, ["id", "tid"]).select("id", "tid", "body", "marks").mapInArrow(_extend(length), FOUND)
     second = ws.save(_joined(windows, False), "windows")
     ws.tidy()
-    cut = _by_id(first.where("gone").unionByName(second).select("id", "lo", "hi"), "cut")
-    key, body = c.fresh(docs.columns, "_id"), c.fresh(docs.columns, "_body")
-    cut = cut.withColumnRenamed("id", key).withColumnRenamed("cut", c.fresh([*docs.columns, key, body], "_cut"))
-    whole = docs.withColumn(key, c.id_key(F.col(id_col))).withColumn(body, F.col(text_col).cast("string")).join(cut, key, "left")
-    whole = whole.select(*[F.col(f"`{x}`") for x in docs.columns], key, body, cut.columns[1])
+    names = []
+    for name in ("_id", "_tid", "_body", "_cut"):
+        names.append(c.fresh([*docs.columns, *names], name))
+    key, tid, text, cut_name = names
+    cut = _by_id(first.where("gone").unionByName(second).select(*ROW), "cut")
+    cut = cut.select(F.col("id").alias(key), F.col("tid").alias(tid), F.col("cut").alias(cut_name))
+    whole = docs.withColumn(key, c.id_key(F.col(id_col))).withColumn(text, body).withColumn(tid, F.xxhash64(F.col(text))).join(cut, [key, tid], "left")
+    whole = whole.select(*[F.col(f"`{x}`") for x in docs.columns], key, text, cut_name)
     made = c.fresh(docs.columns, out)
     kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{made}` struct<n_words:long,n_removed:long,kept_sha256:string,kept_text:string>"])
     return whole.mapInArrow(_apply(length, len(docs.columns)), kinds)

@@ -50,7 +50,7 @@ def _settle(key, alt, ids, tids, lo, hi):
     new = np.flatnonzero(c.first_of_runs(key, alt))
     many = np.diff(np.append(new, len(key)))
     gone = np.flatnonzero(np.repeat(many, many) > 1)
-    ids_l, tids_l, lo_l, hi_l = merge_by_row(ids[gone], tids[gone], lo[gone], hi[gone])
+    ids_l, tids_l, lo_l, hi_l = c.merge_by_row(ids[gone], tids[gone], lo[gone], hi[gone])
     own = c.signed(c.mix(ids_l.view(np.uint64) + tids_l.view(np.uint64)))
     cat = np.concatenate
     zero = np.zeros(len(own), np.int64)
@@ -59,19 +59,6 @@ def _settle(key, alt, ids, tids, lo, hi):
     return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "alt", "kind", "many", *ROW])
 
 
-def merge_by_row(ids, tids, lo, hi):
-    """Join touching start ranges [lo, hi] of one row; several copies of a row count as one."""
-    if not len(ids):
-        return ids, tids, lo.astype(np.int64), hi.astype(np.int64)
-    order = np.lexsort((lo, tids, ids))
-    ids, tids, lo, hi = ids[order], tids[order], lo[order].astype(np.int64), hi[order].astype(np.int64)
-    new = c.first_of_runs(ids, tids)
-    rank, span = np.cumsum(new) - 1, int(hi.max()) + 3
-    a, b = c.merge_ranges(rank * span + lo, rank * span + hi + 1)
-    at = np.flatnonzero(new)[a // span]
-    return ids[at], tids[at], a % span, b - a // span * span - 1
-
-
 def _seed(batches):
     """Anchors of batches of (id, tid, text)."""
     reach = LENGTH - GRAM + 1
