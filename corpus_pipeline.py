@@ -1,4 +1,9 @@
-"""The corpus pipeline: each stage takes (spark, docs, sf_dir) and returns a DataFrame."""
+"""The corpus pipeline, from raw documents to packed pieces.
+
+Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept
+and returns a DataFrame; it is written as Parquet and read again as the next
+stage's documents.  All stages but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
@@ -6,19 +11,23 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparloom.llm import substring_dedup
+from sparloom.llm import decontaminate, packing, quality, simhash, substring_dedup
 from sparloom.llm.common import scratch_dir
 
 STAGES = [
+    ("quality_classifier", quality.stage),
+    ("simhash_near_dedup", simhash.stage),
     ("substring_dedup", substring_dedup.stage),
+    ("benchmark_decontamination", decontaminate.stage),
+    ("best_fit_packing", packing.stage),
 ]
 
-#: DuckDB can't express the classifier, so the rows are held against brute force in tests.
+#: DuckDB can't express the classifier or the packing; the rows are held against brute force in tests.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each result is written and read again."""
+    """Apply the stages to ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     root = f"{scratch_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (name, stage) in enumerate(STAGES):
