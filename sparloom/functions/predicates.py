@@ -30,7 +30,6 @@ SENSITIVE_NAMES = (
     r"|gmail|mail|inbox|contacts|calendar|photos|\bdrive\b|gdrive|onedrive|google-?drive"
 )
 WINDOW_SECONDS = {"s": 1, "m": 60, "h": 3600, "d": 86400, "w": 604800}
-CODE_TOOLS = "locate structure status health hash diff".split()
 LONG_TEXT_CHARS = 2000
 # ----------------------------------------------------------------------------
 
@@ -79,16 +78,12 @@ def field_role(name: Column) -> Column:
     return F.when(has(IDENTITY_WORDS), "identity").when(has(PROSE_WORDS), "prose").otherwise("unknown")
 
 
-def server_of_tool(tool: Column, server: Column) -> Column:
-    """The recorded server; failing that, what the tool's name suggests."""
+def server_of_tool(tool: Column, server: Column, hints: tuple[tuple[str, str], ...] = ()) -> Column:
+    """The recorded server; failing that, the first hint (regex, server) the tool's name meets, then its head."""
     head = F.regexp_extract(tool, r"^([^._]*)", 1)
-    guess = (
-        F.when(F.startswith(tool, F.lit("kb.")), "kb")
-        .when(F.startswith(tool, F.lit("codegraph")), "codegraph")
-        .when(tool.isin(CODE_TOOLS), "runecho")
-        .when(head != "", head)
-        .otherwise("other")
-    )
+    guess = F.when(head != "", head).otherwise("other")
+    for pattern, name in reversed(hints):
+        guess = F.when(tool.rlike(pattern), name).otherwise(guess)
     return F.coalesce(F.nullif(server, F.lit("")), guess)
 
 
