@@ -147,7 +147,7 @@ def glob_to_regex(glob: str) -> str:
         elif ch == "?":
             out += "."
         elif ch == "[" and (end := glob.find("]", i + 1 + (glob[i : i + 1] == "!"))) > 0:
-            body = glob[i:end].replace("\\", "\\\\").replace("[", "\\[").replace("&&", "&\\&")
+            body = glob[i:end].replace("\\", "\\\\").replace("[", "\\[").replace("]", "\\]").replace("&&", "&\\&")
             out += "[" + ("^" + body[1:] if body[:1] == "!" else "\\" + body if body[:1] == "^" else body) + "]"
             i = end + 1
         else:

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import relational
+
+QUERIES: dict = dict(relational.QUERIES)
+ORACLE_SQL: dict[str, str] = dict(relational.ORACLE_SQL)
