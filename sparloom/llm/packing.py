@@ -36,60 +36,82 @@ from pyspark.sql import functions as F
 from . import common as c
 
 LENGTH = 2048
-#: Characters for which lower-casing and splitting need no Unicode tables.
-_SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: Words of which lower-casing and splitting need no Unicode tables.
+_SIMPLE_WORD = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_SIMPLE_TEXT = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 class WordTokenizer:
-    """The tokenizer's ids, remembered word by word.
-
-    Its pre-tokenizer splits at white space and works within words only, so a
-    text's ids are those of its words, one after the other.  Words of plain Latin
-    letters and signs are split further, as its pattern does, so that a word
-    is looked up apart from the signs around it.  The caches are bounded.
+    """The tokenizer's ids, remembered part by part.
+
+    Its pre-tokenizer splits a text into runs of letters, digits and runs of
+    other signs, never across white space, and its model works within these
+    parts only, so a text's ids are those of its parts, one after the other.
+    Parts not seen before go to the tokenizer together, joined by spaces: every
+    part's last id is one that ends words.  Words beyond plain Latin letters and
+    signs, or that may hold the tokenizer's own control strings, are encoded
+    whole.  The memory of parts is bounded.
     """
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
+        self.seen: dict[str, bytes] = {}
         self.most = most
 
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _word(self, word: str) -> bytes:
-        if "<|" in word or len(word) > 100 or not _SIMPLE.fullmatch(word):
-            got = self._encode(word)
-        else:
-            got = b""
-            for part in _PARTS.findall(word.lower()):
-                ids = self.parts.get(part)
-                if ids is None:
-                    if len(self.parts) >= self.most:
-                        self.parts.clear()
-                    ids = self.parts[part] = self._encode(part)
-                got += ids
-        if len(word) <= 100:
-            self.words[word] = got
-        return got
-
-    def ids(self, text: str) -> bytes:
-        """Little-endian 32-bit ids of a text."""
+    def _parts(self, text: str) -> list[str]:
+        """Keys of ``seen``; a whole word's key begins with a zero character."""
+        if _SIMPLE_TEXT.fullmatch(text) and "<|" not in text:
+            return _PARTS.findall(text.lower())
         if _SEPARATORS.search(text):  # white space for Python, not for the pattern
-            return self._encode(text)
-        if len(self.words) >= self.most:
-            self.words.clear()
-        words = text.split()
-        try:
-            return b"".join([self.words[w] for w in words])
-        except KeyError:
-            have, make = self.words.get, self._word
-            return b"".join([have(w) or make(w) for w in words])
+            return ["\0" + text]
+        found = []
+        for word in text.split():
+            if _SIMPLE_WORD.fullmatch(word) and "<|" not in word:
+                found += _PARTS.findall(word.lower())
+            else:
+                found.append("\0" + word)
+        return found
+
+    def _learn(self, parts: list[str]) -> None:
+        whole = [p for p in parts if p[0] == "\0"]
+        parts = [p for p in parts if p[0] != "\0"]
+        for p in whole:
+            self.seen[p] = self._encode(p[1:]).tobytes()
+        for k in range(0, len(parts), 512):
+            some = parts[k : k + 512]
+            ids = self._encode(" ".join(some))
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) == len(some):
+                raw, at = ids.tobytes(), 0
+                for part, end in zip(some, (4 * last).tolist()):
+                    self.seen[part] = raw[at:end]
+                    at = end
+            else:
+                self.seen |= {part: self._encode(part).tobytes() for part in some}
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        if len(self.seen) > self.most:
+            self.seen.clear()
+        split = [self._parts(t) for t in texts]
+        new = set().union(*(set(parts).difference(self.seen) for parts in split))
+        if new:
+            self._learn(sorted(new))
+        get = self.seen.__getitem__
+        made = [b"".join(map(get, parts)) for parts in split]
+        for key in [k for k in new if len(k) > 100]:
+            del self.seen[key]
+        return made
 
 
 def _pieces(path: str, length: int):
@@ -101,15 +123,17 @@ def _pieces(path: str, length: int):
         end = b"\0\0\0\0"
         for batch in batches:
             row, piece, start, size, crc = [], [], [], [], []
-            for r, text in enumerate(batch.column(1)):
-                ids = tokenizer.ids(text.as_py() or "") + end
-                for k in range(0, len(ids), 4 * length):
-                    part = ids[k : k + 4 * length]
-                    row.append(r)
-                    piece.append(k // (4 * length))
-                    start.append(k // 4)
-                    size.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
+            for first in range(0, len(batch), 256):
+                texts = [x or "" for x in batch.column(1).slice(first, 256).to_pylist()]
+                for r, ids in enumerate(tokenizer.ids(texts), first):
+                    ids += end
+                    for k in range(0, len(ids), 4 * length):
+                        part = ids[k : k + 4 * length]
+                        row.append(r)
+                        piece.append(k // (4 * length))
+                        start.append(k // 4)
+                        size.append(len(part) // 4)
+                        crc.append(zlib.crc32(part))
             size = np.array(size, np.int64)
             order = np.argsort(size, kind="stable")
             ranks = np.arange(len(size)) - np.searchsorted(size[order], size[order]) + seen[size[order]]
