@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import relational
+from . import payload_queries, relational
 
-QUERIES: dict = dict(relational.QUERIES)
-ORACLE_SQL: dict[str, str] = dict(relational.ORACLE_SQL)
+QUERIES: dict = relational.QUERIES | payload_queries.QUERIES
+ORACLE_SQL: dict[str, str] = relational.ORACLE_SQL | payload_queries.ORACLE_SQL
