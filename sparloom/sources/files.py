@@ -14,20 +14,22 @@ HISTORY = "ts long, label string, n_payloads long, lossless_pass long, raw_tok l
 
 
 def _json(spark: SparkSession, paths, schema: str, whole: bool = False) -> DataFrame:
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-    return reader.option("multiLine", whole).json(paths)
+    """Lines (or whole files) parsed to the schema; what does not parse is in _corrupt_record."""
+    lines = spark.read.option("wholetext", whole).text(paths).where("trim(value) <> ''").select("value", F.col("_metadata.file_name").alias("file"))
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return lines.select(parsed.alias("r"), "file").select("r.*", "file")
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """One envelope per file; broken ones and those without tool or raw go; files with a leading '_' are no data."""
-    rows = _json(spark, path, CORPUS, whole=True).withColumn("file", F.col("_metadata.file_name"))
+    rows = _json(spark, path, CORPUS, whole=True)
     return rows.where("_corrupt_record is null and raw is not null and tool is not null").drop("_corrupt_record").orderBy(F.coalesce("captured_at", F.lit(0)), "file")
 
 
 def corrupt_files(spark: SparkSession, path: str) -> DataFrame:
     """How many files could not be read."""
     rows = _json(spark, path, CORPUS, whole=True)
-    return rows.select("tool", "_corrupt_record").groupBy().agg(F.count_if(F.col("_corrupt_record").isNotNull()).alias("corrupt"))
+    return rows.agg(F.count_if(F.col("_corrupt_record").isNotNull()).alias("corrupt"))
 
 
 def write_corpus(envelopes: DataFrame, path: str) -> None:
@@ -40,7 +42,7 @@ def write_corpus(envelopes: DataFrame, path: str) -> None:
 def read_ledger(spark: SparkSession, *paths: str, since: int | None = None) -> DataFrame:
     """Rows of all generations; torn lines go; with ``since``, rows without a time go too."""
     rows = _json(spark, list(paths), LEDGER)
-    rows = rows.where("_corrupt_record is null").drop("_corrupt_record")
+    rows = rows.where("_corrupt_record is null").drop("_corrupt_record", "file")
     return rows if since is None else rows.where(F.col("ts") >= since)
 
 
@@ -50,7 +52,7 @@ def append_ledger(rows: DataFrame, path: str) -> None:
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return _json(spark, path, HISTORY).where("ts is not null")
+    return _json(spark, path, HISTORY).where("ts is not null").drop("file")
 
 
 def append_history(rows: DataFrame, path: str) -> None:
