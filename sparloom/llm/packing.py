@@ -241,7 +241,11 @@ class Plan:
         if not total:
             return
         share, queues, row = -(-total // groups), [], 0
-        for s in sizes:  # runs of [length, how many], in groups of equal cardinality
+        if len(sizes) <= groups:  # few sizes as they are: nothing to round
+            queues, sizes_left = [[[s, int(left[s])]] for s in sizes], []
+        else:
+            sizes_left = sizes
+        for s in sizes_left:  # runs of [length, how many], in groups of equal cardinality
             n = int(left[s])
             while n:
                 if row % share == 0:
