@@ -36,10 +36,10 @@ def coverage(payloads: DataFrame, shape) -> DataFrame:
 
 def attribution(payloads: DataFrame) -> DataFrame:
     """A payload without server adopts the only server seen for its tool; ``how`` says so."""
-    over = Window.partitionBy("tool")
-    seen = payloads.withColumns({"least": F.min(F.nullif("server", F.lit(""))).over(over), "most": F.max(F.nullif("server", F.lit(""))).over(over)})
-    only = F.when(F.col("least") == F.col("most"), F.col("least"))
     own = F.nullif("server", F.lit(""))
+    servers = payloads.groupBy(F.col("tool").alias("of")).agg(F.min(own).alias("least"), F.max(own).alias("most"))
+    seen = payloads.join(servers, F.col("tool").eqNullSafe(F.col("of"))).drop("of")
+    only = F.when(F.col("least") == F.col("most"), F.col("least"))
     how = F.when(own.isNotNull(), "recorded").when(only.isNotNull(), "adopted").otherwise("unknown")
     return seen.withColumn("how", how).withColumn("server", F.coalesce(own, only)).drop("least", "most")
 

@@ -29,7 +29,8 @@ def chain_windows(runs: DataFrame, depth: int, *keys: str, order: str, value: st
 def round_robin(rows: DataFrame, cap: int, tool: str, *order: str) -> DataFrame:
     """Up to ``cap`` rows, one of each tool a pass."""
     turn = F.row_number().over(Window.partitionBy(tool).orderBy(*order))
-    return rows.withColumn("turn_no", turn).orderBy("turn_no", tool).limit(cap)
+    # no tool can have more than ``cap`` turns in the result, so its rows beyond go before the shuffle
+    return rows.withColumn("turn_no", turn).where(F.col("turn_no") <= cap).orderBy("turn_no", tool).limit(cap)
 
 
 def expose_names(tools: DataFrame, most: int = 10) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,14 +27,31 @@ def row_apply(prev: DataFrame, delta: DataFrame, key: str) -> DataFrame:
     return prev.join(gone, key, "left_anti").join(changed.select(key), key, "left_anti").unionByName(changed.select(key, *rest))
 
 
+def _runs(batches):
+    """One row a partition: is it in order, and its ends as (is new, place)."""
+    first = last = None
+    ok = True
+    for batch in batches:
+        new, place, now = (batch.column(k).to_pylist() for k in range(3))
+        for here in zip(new, place, now):
+            ok = ok and (last is None or last[:2] < here[:2])
+            first, last = first or here, here
+    if first is not None:
+        yield pa.RecordBatch.from_pylist([{"ok": ok, "a_new": first[0], "a": first[1], "now": first[2], "z_new": last[0], "z": last[1]}])
+
+
 def keeps_order(prev: DataFrame, curr: DataFrame, key: str, order: str) -> DataFrame:
-    """One row: may the later snapshot be written as survivors in their old order, then new rows?"""
-    both = prev.select(key, F.col(order).alias("was")).join(curr.select(key, F.col(order).alias("now")), key, "right")
-    # new rows sort behind every survivor; the expected place grows with the actual one
-    expected = F.struct(F.col("was").isNull(), F.coalesce("was", "now"))
-    bucket = F.lit(0)
-    before = F.lag(expected).over(Window.partitionBy(bucket).orderBy("now"))
-    return both.withColumn("ok", F.coalesce(before < expected, F.lit(True))).agg(F.bool_and("ok").alias("representable"))
+    """One row: may the later snapshot be written as survivors in their old order, then new rows?
+
+    The later rows are range-sorted; each partition says whether it is in order, and only
+    its two ends are compared with its neighbours'.
+    """
+    both = prev.select(key, F.col(order).cast("long").alias("was")).join(curr.select(key, F.col(order).cast("long").alias("now")), key, "right")
+    rows = both.select(F.col("was").isNull().alias("new"), F.coalesce("was", "now").alias("place"), "now")
+    ends = rows.repartitionByRange("now").sortWithinPartitions("now").mapInArrow(_runs, "ok boolean, a_new boolean, a long, now long, z_new boolean, z long")
+    before = F.lag(F.struct("z_new", "z")).over(Window.orderBy("now"))  # one row a partition
+    joined = F.coalesce(before < F.struct("a_new", "a"), F.lit(True))
+    return ends.withColumn("ok", F.col("ok") & joined).agg(F.coalesce(F.bool_and("ok"), F.lit(True)).alias("representable"))
 
 
 def key_diff(prev: DataFrame, curr: DataFrame) -> DataFrame:
