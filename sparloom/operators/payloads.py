@@ -265,3 +265,69 @@ def cross_counter(measured: DataFrame, a: str, b: str, *keys: str) -> DataFrame:
     pct = lambda c: F.sum(F.col(f"{c}.saved_total")) * 100.0 / F.sum(F.col(f"{c}.raw_tok"))
     rows = measured.groupBy(*keys).agg(F.abs(pct(a) - pct(b)).alias("d"))
     return rows.agg(F.max("d").alias("max_divergence"), F.avg("d").alias("mean_divergence")).withColumn("invariant", F.col("max_divergence") <= 3.0)
+
+
+def build_pack(payloads: DataFrame, codec: Codec | None = None) -> DataFrame:
+    """(tool, sha, qid, qtype, transform, prompt, instruction, expected, raw, form): an evaluation to run elsewhere."""
+    rows = payloads.select("tool", "sha", "raw", emit(F.col("raw"), codec)["text"].alias("form"))
+    return rows.lateralJoin(Questions(F.col("raw").outer())).select("tool", "sha", "qid", "qtype", "transform", "prompt", "instruction", "expected", "raw", "form")
+
+
+def score_pack(pack: DataFrame, responses: DataFrame) -> DataFrame:
+    """Responses (model, sha, qid, form, replies) against the pack's answers: right and trials per form.
+
+    Replies to questions that the pack does not have go.
+    """
+    kind = flat("ok int, trials int")
+
+    def count(qtype, expected, replies):
+        return questions.score_form(qtype, json.loads(expected), list(replies) if replies is not None else [])
+
+    met = responses.join(pack.select("tool", "sha", "qid", "qtype", "transform", "expected"), ["sha", "qid"])
+    scored = met.withColumn("s", _struct(count, kind)(F.col("qtype"), F.col("expected"), F.col("replies")))
+    return scored.select("model", "tool", "sha", "qid", "qtype", "transform", "form", "s.ok", "s.trials")
+
+
+def text_ceiling(raw: Column) -> Column:
+    """(raw, line, phrase, block): tokens plain and with the aliases of each mode."""
+    from ..kernel.textalias import ceiling
+
+    kind = flat("raw long, line long, phrase long, block long")
+    return _struct(lambda x: (None,) * 4 if x is None else ceiling(x), kind)(raw)
+
+
+def ask_dropped(rows: DataFrame, answer, fields: dict[str, dict], codec: Codec | None = None) -> DataFrame:
+    """The two-turn protocol on dropped values, with an injected answerer.
+
+    ``rows``: (id, tool, raw).  Turn one shows the reduced text and asks for a dropped value;
+    ``answer(text, None)`` names a handle or None; turn two shows what the store holds for
+    it, and ``answer(text, value)`` gives the reply.  Out: handle_ok, retrieve_ok, answer_ok, errors.
+    """
+    codec = codec or Codec()
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                ok, value = parse(row.raw)
+                try:
+                    small, store = lossy.drop(value, fields, row.tool, codec.dropped) if ok else (None, {})
+                except lossy.PathError:
+                    continue
+                for name, original in store.items():
+                    asked = answer(minify(small), None)
+                    held = store.get(asked) if asked is not None else None
+                    reply = answer(minify(small), held if isinstance(held, str) else minify(held)) if held is not None else None
+                    truth = original if isinstance(original, str) else minify(original)
+                    out.append((row.id, row.tool, int(asked == name), int(held is not None), int(reply == truth), int(asked is None)))
+            yield pd.DataFrame(out, columns=["id", "tool", "handle_ok", "retrieve_ok", "answer_ok", "errors"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.select("id", "tool", "raw").mapInPandas(run, f"id {kind}, tool string, handle_ok int, retrieve_ok int, answer_ok int, errors int")
+
+
+def parse_events(body: Column) -> Column:
+    """Data of server-sent events of a response body, in order: blank lines part events, data lines are joined."""
+    blocks = F.filter(F.split(F.regexp_replace(body, "\r\n?", "\n"), "\n\n+"), lambda b: F.contains(b, F.lit("data:")))
+    data = lambda b: F.array_join(F.transform(F.filter(F.split(b, "\n"), lambda x: F.startswith(x, F.lit("data:"))), lambda x: F.regexp_replace(x, "^data: ?", "")), "\n")
+    return F.transform(blocks, data)

@@ -333,3 +333,54 @@ def width_sweep(spark, sf_dir):
 def gzip_floor(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", ops.gzip_ratio(F.col("text")).alias("ratio"))
 
+
+
+@query("text_alias_gate", "SELECT count(*) AS texts, true AS never_lossy, true AS raw_is_chars4 FROM documents")
+def text_alias_gate(spark, sf_dir):
+    """ceiling() raises where text would be lost, so a result is the gate."""
+    rows = table(spark, sf_dir, "documents").select("text", ops.text_ceiling(F.col("text")).alias("c"))
+    return rows.agg(F.count(F.lit(1)).alias("texts"), F.bool_and(F.col("c.block").isNotNull()).alias("never_lossy"), F.bool_and(F.col("c.raw") == F.greatest(F.lit(1), F.floor(F.length("text") / 4))).alias("raw_is_chars4"))
+
+
+@query("text_alias_ceiling")
+def text_alias_ceiling(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("lang", ops.text_ceiling(F.col("text")).alias("c"))
+    return rows.groupBy("lang").agg(*(F.sum(f"c.{m}").alias(m) for m in ("raw", "line", "phrase", "block")), *(F.count_if(F.col(f"c.{m}") > F.col("c.raw")).alias(f"{m}_inflates") for m in ("line", "phrase", "block")))
+
+
+def _order_payloads(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").where("o_orderkey % 10 <> 0").groupBy(F.col("o_custkey").alias("key"))
+    rows = rows.agg(F.to_json(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus")))).alias("raw"), F.count(F.lit(1)).alias("n")).where("n >= 2")
+    return rows.select(F.col("key").cast("string").alias("tool"), F.substring(F.sha1(F.col("raw").cast("binary")), 1, 8).alias("sha"), "raw")
+
+
+@query("score_pack", f"SELECT CAST(key AS VARCHAR) AS tool, 2 AS trials, CASE WHEN key % 2 = 0 THEN 2 ELSE 1 END AS ok FROM {_ASKED}")
+def score_pack(spark, sf_dir):
+    pack = ops.build_pack(_order_payloads(spark, sf_dir))
+    wrong = F.when(F.col("tool").cast("long") % 2 == 0, F.col("expected")).otherwise(F.lit("-1"))
+    replies = pack.where("qid = 'count'").select(F.lit("stub").alias("model"), "sha", "qid", F.lit("form").alias("form"), F.array(F.concat(F.lit("it has "), "expected"), wrong).alias("replies"))
+    return ops.score_pack(pack, replies).select("tool", "trials", "ok")
+
+
+def _retriever(text: str, value: str | None) -> str | None:
+    """A stand-in that finds the handle in the text and repeats what it is shown."""
+    import re
+
+    if value is not None:
+        return value
+    found = re.search(r'_dropped__":"([0-9a-f]+)"', text)
+    return found[1] if found else None
+
+
+@query("drop_eval", "SELECT count(*) AS asked, count(*) AS answered, CAST(0 AS BIGINT) AS errors FROM documents WHERE length(text) >= 200")
+def drop_eval(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("tool"), F.to_json(F.struct("doc_id", "text")).alias("raw"))
+    out = ops.ask_dropped(rows, _retriever, {"text": {"lossy": "drop-to-retrieve"}})
+    return out.agg(F.count(F.lit(1)).alias("asked"), F.sum("answer_ok").alias("answered"), F.sum("errors").alias("errors"))
+
+
+@query("event_stream_parse", "SELECT conv_id, turn, length(text) AS n FROM conversations WHERE NOT contains(text, chr(10))")
+def event_stream_parse(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").where("not contains(text, '\n')")
+    body = F.concat(F.lit(": hello\r\n\r\nevent: message\r\ndata: "), F.col("text"), F.lit("\r\n\r\n: end\n\n"))
+    return rows.select("conv_id", "turn", F.explode(ops.parse_events(body)).alias("d")).select("conv_id", "turn", F.length("d").cast("long").alias("n"))

@@ -97,3 +97,30 @@ def test_machines_evict_and_reset():
     base = " ".join(f"word{i}" for i in range(400))
     reasons = [text.step({"session": "s", "tool": "t", "seq": i, "raw": base + f" tail {i}"})[0][3] for i in range(8)]
     assert reasons[0] == "no_prior" and reasons[1:6] == ["emitted"] * 5 and reasons[6] == "keyframe"
+
+
+def test_reports(spark):
+    from sparloom.operators import report
+
+    df = spark.createDataFrame([("a|b", 2.0, None), ("c", -1.0, 3)], "name string, v double, n int").orderBy("name")
+    assert report.markdown(df, "T").splitlines()[-2:] == ["| a\\|b | 2.0 | — |", "| c | -1.0 | 3 |"]
+    assert report.html_bars(df, "name", "v").count("<rect") == 2 and report.sparkline([0, None, 5, 10]) == "▁ ▄█"
+    assert "o" in report.forest("m", 0.01, 0.1) and report.diverging("x", -1, 2).rstrip().endswith("|")
+    assert json.loads(report.as_json(total=df.limit(1), rows=df))["total"]["v"] == 2.0
+
+
+def test_primer_sections():
+    from sparloom.kernel.primer import primer
+
+    assert primer({"rules": [{"tool": "*", "tiers": ["minify"]}]}) == "" and "cols" in primer({"rules": [{"tiers": ["tabularize"]}]}, {"rules": []})
+    assert "fetched" in primer({"rules": [{"tiers": [], "fields": {"a": {"lossy": "drop-to-retrieve"}}}]})
+
+
+def test_text_aliases():
+    from sparloom.kernel import textalias
+
+    text = "the quick brown fox jumps over it\n" * 20 + "another line of words that is here\n" * 3 + "§ sign"
+    for mode in ("line", "phrase", "block"):
+        coded, legend = textalias.encode(text, mode)
+        assert legend and textalias.decode(coded, legend) == text and len(coded) < len(text)
+    assert textalias.sigil_for("".join(textalias.SIGILS) + "«0»") == "«1»"
