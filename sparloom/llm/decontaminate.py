@@ -191,7 +191,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     seeds = scanned.select(F.col("id.row").alias("row"), F.explode("prints").alias("d")).select("row", "d.*", salt.alias("salt"))
     ours = prints.select("key", "n", F.col("core").alias("core_"), F.col("left").alias("left_"), F.col("right").alias("right_"), "id").distinct()
     ours = ours.withColumn("salt", F.explode(F.array(*(F.lit(k).cast("long") for k in range(SALTS)))))
-    met = seeds.join(ours, ["key", "salt"]).where("core = core_")
+    met = seeds.join(ours.hint("merge"), ["key", "salt"]).where("core = core_")
     before, after = _common("left", "left_"), _common("right", "right_")
     met = met.select("row", "at", "id", "n", before.alias("before"), after.alias("after"))
     met = met.withColumn("length", F.when(F.col("n") < 0, -F.col("n")).otherwise(F.col("n") + F.col("before") + F.col("after")))
@@ -226,6 +226,9 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark window go, whole; clean ones stay as they are."""
-    found = find_contamination(docs, c.read_table(spark, sf_dir, "benchmark"))
-    gone = found.where(F.col("spans").isNotNull() & F.col("id").isNotNull()).select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    key, tid, own = (c.fresh(docs.columns, x) for x in ("_key", "_tid", "_own"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    named = docs.withColumns({key: c.id_key(F.col("doc_id")), tid: F.xxhash64(text)})
+    found = find_contamination(named.withColumn(own, F.struct(key, tid)), c.read_table(spark, sf_dir, "benchmark"), own)
+    gone = found.where(F.col("spans").isNotNull()).select(f"id.{key}", f"id.{tid}").distinct()
+    return named.join(gone, [key, tid], "left_anti").select(*docs.columns)

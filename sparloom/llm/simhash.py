@@ -73,7 +73,7 @@ def _fingerprints(width: int):
             whole = data.data if len(data) else b""
             made = [majority(fingerprint_hashes(bytes(whole[a:b]), width)) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
             made = np.array(made, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made)], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(made)], names=["id", "tid", "fp"])
 
     return run
 
@@ -191,23 +191,29 @@ def _buckets(batches):
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """(id, fp long) of every row."""
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body")).mapInArrow(_fingerprints(width), "id long, fp long")
+    """(id, tid, fp long) of every row; tid is a hash of the text."""
+    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("id"), body.alias("body"), F.xxhash64(body).alias("tid")).mapInArrow(_fingerprints(width), "id long, tid long, fp long")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """(id, fp long, component): one row per row of ``docs``."""
+    """(id, tid, fp long, component, stays): one row per row of ``docs``.
+
+    ``stays`` marks the document that stands for its component: that with the least id
+    (null ids last), then the least hash of its text.
+    """
     ws = c.Workspace(docs.sparkSession, "simhash")
     prints = ws.save(fingerprints(docs, id_col, text_col, width), "prints")
-    classes = ws.save(prints.groupBy("fp").agg(F.min("id").alias("least")), "classes")
+    own = F.struct(F.col("id").isNull().alias("unnamed"), F.col("id"), F.col("tid"))
+    classes = ws.save(prints.groupBy("fp").agg(F.min("id").alias("least"), F.min(own).alias("first")), "classes")
     keyed = classes.select("fp").mapInArrow(_bucket_keys, "key long, fp long")
     links = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_buckets, "a long, b long")
     roots = components(links, ws).withColumnRenamed("id", "fp")
     ws.tidy()
-    labelled = classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = labelled.groupBy("root").agg(F.min("least").alias("component"))
-    named = ws.save(labelled.join(least, "root").select("fp", "component"), "named")
-    return prints.join(named, "fp").select("id", "fp", "component")
+    labelled = classes.join(roots, "fp", "left").select("fp", "least", "first", F.coalesce("root", "fp").alias("root"))
+    least = labelled.groupBy("root").agg(F.min("least").alias("component"), F.min("first").alias("stands"))
+    named = ws.save(labelled.select("fp", "root").join(least, "root").select("fp", "component", "stands"), "named")
+    return prints.join(named, "fp").select("id", "tid", "fp", "component", (own == F.col("stands")).alias("stays"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,7 +222,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that with the least id."""
-    groups = simhash_groups(docs)
-    gone = groups.where("id <> component").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group stays; a repeated row is the same document."""
+    ws = c.Workspace(spark, "simhash-stage")
+    groups = ws.save(simhash_groups(docs).select(c.id_key(F.col("id")).alias("key"), "tid", "stays"), "groups")
+    key, tid = c.fresh(docs.columns, "_key"), c.fresh(docs.columns, "_tid")
+    gone = groups.where("not stays").select(F.col("key").alias(key), F.col("tid").alias(tid)).distinct()
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    kept = docs.withColumns({key: c.id_key(F.col("doc_id")), tid: F.xxhash64(text)}).join(gone, [key, tid], "left_anti")
+    if groups.where("stays").groupBy("key", "tid").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates([key, tid])
+    return kept.select(*docs.columns)

@@ -152,6 +152,26 @@ def test_pipeline_stages(spark):
     assert out == sorted(brute.pieces(rows[4], Tokenizer.from_file(packing.default_tokenizer())))
 
 
+def test_stages_with_null_and_shared_ids(spark, sf):
+    import brute
+
+    from sparloom.llm import decontaminate, simhash, substring_dedup
+
+    leak = " ".join(r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").limit(1).collect())
+    rows = brute.awkward()
+    rows += [(None, leak, None, None, len(leak)), (16, leak, None, None, len(leak)), (16, leak, None, None, len(leak))]
+    df = spark.createDataFrame(rows, brute.SCHEMA)
+    clean = sorted(map(tuple, decontaminate.stage(spark, df, sf).collect()), key=repr)
+    assert clean == sorted((r for r in rows if r[1] != leak), key=repr)
+    one = [tuple(r) for r in simhash.stage(spark, df, sf).collect()]
+    groups = {brute.fingerprint(r[1]) for r in rows}
+    assert set(one) <= set(rows) and len(one) == len(set(one)) <= len(groups) and not [r for r in one if r[0] == 14]
+    assert sum(r[1] == leak for r in one) == 1 and sum(not (r[1] or "").strip() for r in one) == 1
+    assert substring_dedup.stage(spark, df, sf).count() == len(rows)
+    for stage in (decontaminate.stage, simhash.stage, substring_dedup.stage):
+        assert stage(spark, df.limit(0), sf).count() == 0
+
+
 def test_registry():
     import __spark_entry__ as entry
 
