@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat
+from . import chat, oracles
 from .chat import op4_chat_format
 from .decontaminate import op2_decontaminate
 from .html_extract import op3_html_extract
@@ -28,5 +28,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_decontaminate": oracles.DECONTAMINATE,
     "op4_chat_format": chat.ORACLE_SQL,
+    "op7_substring_dedup": oracles.SUBSTRINGS,
 }

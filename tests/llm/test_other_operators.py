@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparloom.llm import chat, html_extract, nearest, quality
+from sparloom.llm import chat, html_extract, nearest, quality, queries
 
 
 def test_pages_of_table(spark, sf):
@@ -38,10 +38,11 @@ def test_pages_keep_columns_and_rows(spark):
     assert html_extract.extract_pages(rows.limit(0)).count() == 0
 
 
-def test_chat_matches_duckdb(spark, sf):
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_matches_duckdb(spark, sf, name):
     from compare import differences
 
-    assert not differences(spark, sf, chat.op4_chat_format, chat.ORACLE_SQL)
+    assert not differences(spark, sf, queries.QUERIES[name], queries.ORACLE_SQL[name])
 
 
 def test_chat_round_trip(spark):
