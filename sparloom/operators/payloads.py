@@ -223,11 +223,11 @@ def score(qtype: Column, expected: Column, reply: Column) -> Column:
     return _flag(lambda q, e, r: r is not None and questions.score(q, json.loads(e), r))(qtype, expected, reply)
 
 
-def ask(rows: DataFrame, answer, arms: tuple[str, ...]) -> DataFrame:
+def ask(rows: DataFrame, answer, arms: tuple[str, ...], failed_is_miss: bool = False) -> DataFrame:
     """Put every question to an injected answerer, per arm: adds <arm>_ok and <arm>_trials.
 
-    ``answer(arm, prompt, payload)`` returns a reply or None (a failed call, which leaves
-    the denominator).
+    ``answer(arm, prompt, payload)`` returns a reply or None: a failed call, which leaves
+    the denominator, or counts as a miss (as codec evaluations want it).
     """
     schema = StructType(list(rows.schema.fields)).simpleString()[7:-1]
     more = ", ".join(f"{a}_ok int, {a}_trials int" for a in arms)
@@ -236,7 +236,7 @@ def ask(rows: DataFrame, answer, arms: tuple[str, ...]) -> DataFrame:
         for pdf in batches:
             for arm in arms:
                 replies = [answer(arm, p, raw) for p, raw in zip(pdf["prompt"], pdf[arm])]
-                pdf[f"{arm}_trials"] = [int(r is not None) for r in replies]
+                pdf[f"{arm}_trials"] = [int(failed_is_miss or r is not None) for r in replies]
                 pdf[f"{arm}_ok"] = [int(r is not None and questions.score(q, json.loads(e), r)) for q, e, r in zip(pdf["qtype"], pdf["expected"], replies)]
             yield pdf
 
@@ -331,3 +331,21 @@ def parse_events(body: Column) -> Column:
     blocks = F.filter(F.split(F.regexp_replace(body, "\r\n?", "\n"), "\n\n+"), lambda b: F.contains(b, F.lit("data:")))
     data = lambda b: F.array_join(F.transform(F.filter(F.split(b, "\n"), lambda x: F.startswith(x, F.lit("data:"))), lambda x: F.regexp_replace(x, "^data: ?", "")), "\n")
     return F.transform(blocks, data)
+
+
+def text_drop_candidates(payloads: DataFrame, least: int = lossy.TEXT_DROP_MIN, share: float = 0.4) -> DataFrame:
+    """Tools of two or more long texts whose large fenced blocks hold at least ``share`` of the tokens."""
+    long_text = payloads.where(shape(F.col("raw")) == "long-text").select("tool", "raw", F.floor(F.length("raw") / 4).alias("t"))
+    held = F.aggregate(blocks_of(F.col("raw")), F.lit(0), lambda n, b: n + F.when(b >= least, F.floor(b / 4).cast("int")).otherwise(0))
+    rows = long_text.withColumn("held", held).groupBy("tool").agg(F.count(F.lit(1)).alias("payloads"), F.sum("t").alias("tokens"), F.sum("held").alias("block_tokens"))
+    return rows.where((F.col("payloads") >= 2) & (F.col("block_tokens") >= share * F.col("tokens")))
+
+
+def blocks_of(text: Column) -> Column:
+    """Lengths of the fenced blocks of a text."""
+
+    @F.pandas_udf("array<int>")
+    def run(x: pd.Series) -> pd.Series:
+        return x.map(lambda t: [b - a for a, b in lossy.fences(t or "")])
+
+    return run(text)

@@ -15,6 +15,7 @@ from ..kernel.forms import minify
 from ..kernel.questions import questions
 from ..operators import payloads as ops
 from ..operators import probes, sequence
+from ..sources.generate import churn, stress_corpus
 from ..sources.scratch import shared_folder
 from ..sources.views import table, view
 from ..streaming import machines, run
@@ -384,3 +385,26 @@ def event_stream_parse(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").where("not contains(text, '\n')")
     body = F.concat(F.lit(": hello\r\n\r\nevent: message\r\ndata: "), F.col("text"), F.lit("\r\n\r\n: end\n\n"))
     return rows.select("conv_id", "turn", F.explode(ops.parse_events(body)).alias("d")).select("conv_id", "turn", F.length("d").cast("long").alias("n"))
+
+
+@query("stress_corpus", """
+SELECT * FROM (VALUES ('wide_table', true, true), ('long_table', true, true), ('heavy_alias', true, true), ('nested_records', true, true), ('mixed_realistic', true, true), ('object_alias', true, true)) t(shape, lossless, smaller)""")
+def stress(spark, sf_dir):
+    rows = stress_corpus(spark).select("shape", ops.measure(F.col("raw")).alias("m"))
+    return rows.select("shape", (F.col("m.roundtrip_ok") & F.col("m.embedded_ok")).alias("lossless"), (F.col("m.compressed_tok") < F.col("m.raw_tok")).alias("smaller"))
+
+
+@query("churned_diff", f"SELECT key, n + 1 AS n, CAST(least(n, 2) + 1 AS BIGINT) AS sent FROM {_ASKED}")
+def churned_diff(spark, sf_dir):
+    """Two records change and one comes: the delta carries those three."""
+    rows = table(spark, sf_dir, "orders").where("o_orderkey % 10 <> 0").groupBy(F.col("o_custkey").alias("key"))
+    rows = rows.agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("r")).where("size(r) >= 2")
+    rows = rows.select("key", ops.row_delta(F.to_json("r"), F.to_json(churn(F.col("r"), "o_orderstatus", "o_orderkey")), F.lit("t"))["wire"].alias("w"))
+    return rows.select("key", F.get_json_object("w", "$.n").cast("long").alias("n"), F.expr("cast(json_array_length(get_json_object(w, '$.set')) as bigint)").alias("sent"))
+
+
+@query("text_drop_candidates", """
+SELECT lang AS tool, count(*) AS payloads FROM documents WHERE length(text) + 17 >= 2000 GROUP BY 1 HAVING count(*) >= 2""")
+def text_drop_candidates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("lang").alias("tool"), F.concat(F.lit("a\n```txt\n"), F.col("text"), F.lit("\n```\nend")).alias("raw"))
+    return ops.text_drop_candidates(docs).select("tool", "payloads")
