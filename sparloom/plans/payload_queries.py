@@ -261,7 +261,7 @@ def evaluate_forms(spark, sf_dir):
 def _results(spark, sf_dir):
     """A replay: events of a user are results of one session."""
     events = table(spark, sf_dir, "events").where("user_id % 5 = 0")
-    raw = F.to_json(F.struct((F.col("event_id") % 3).alias("state"), F.lit("a fixed and rather long description of the tool's result").alias("about"), F.col("event_type").alias("kind")))
+    raw = F.to_json(F.struct((F.col("event_id") % 3).alias("state"), F.lit("a fixed and rather long description of the tool's result; " * 12).alias("about"), F.col("event_type").alias("kind")))
     return events.select(F.col("user_id").cast("string").alias("session"), F.col("event_type").alias("tool"), F.col("event_id").alias("seq"), raw.alias("raw"), (F.col("event_id") % 2).cast("string").alias("args"), F.lit(False).alias("joined"))
 
 
