@@ -55,7 +55,7 @@ class WordTokenizer:
     whole.  The memory of parts is bounded.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -354,7 +354,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     for row in bases.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most ``length`` rows
         histogram[row.length] = row.n
     runs = spark.sparkContext.broadcast(best_plan(histogram, length).runs())
-    ranked = pieces.join(bases.select("length", "task", "base"), ["length", "task"])
+    # the bases grow with tasks times lengths, so they are not to be broadcast
+    ranked = pieces.join(bases.select("length", "task", "base").hint("merge"), ["length", "task"])
     ranked = ranked.select("id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("place")).alias("rank"))
     return ranked.mapInArrow(_assign(runs), f"id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
