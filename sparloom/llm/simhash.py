@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from . import common as c
 from .components import components
+from .near_copies import near_groups
 
 BUDGET = 2
 _MASKS = [
@@ -222,9 +223,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays; a repeated row is the same document."""
+    """One document of each group of near copies stays; a repeated row is the same document.
+
+    The pipeline's near copies are texts of like 5-word shingles (see ``near_copies``);
+    the two bits over 3-word shingles are the digest query's alone.
+    """
     ws = c.Workspace(spark, "simhash-stage")
-    groups = ws.save(simhash_groups(docs).select(c.id_key(F.col("id")).alias("key"), "tid", "stays"), "groups")
+    groups = ws.save(near_groups(docs).select(c.id_key(F.col("id")).alias("key"), "tid", "stays"), "groups")
     key, tid = c.fresh(docs.columns, "_key"), c.fresh(docs.columns, "_tid")
     gone = groups.where("not stays").select(F.col("key").alias(key), F.col("tid").alias(tid)).distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
