@@ -464,10 +464,12 @@ def snapshot_row_apply(spark, sf_dir):
 
 @query("snapshot_keeps_order", "SELECT true AS representable")
 def snapshot_keeps_order(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    prev = orders.where("o_orderkey % 7 <> 0 and o_orderkey < 400").select(F.col("o_orderkey").alias("k"), F.col("o_orderkey").alias("ord"))
-    curr = orders.where("(o_orderkey % 11 <> 0 and o_orderkey % 7 <> 0) or o_orderkey > 390").where("o_orderkey < 600").select(F.col("o_orderkey").alias("k"), F.col("o_orderkey").alias("ord"))
-    return snapshot.keeps_order(prev, curr.where("k % 7 <> 0 or k >= 400"), "k", "ord")
+    """All orders: every eleventh key is removed, every seventh is new and comes after the rest."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+    new = F.col("k") % 7 == 0
+    prev = orders.where(~new).select("k", F.col("k").alias("ord"))
+    curr = orders.where(new | (F.col("k") % 11 != 0)).select("k", F.when(new, F.col("k")).otherwise(F.col("k") - F.lit(1 << 62)).alias("ord"))
+    return snapshot.keeps_order(prev, curr, "k", "ord")
 
 
 _KEYED = """
