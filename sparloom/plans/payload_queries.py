@@ -162,7 +162,7 @@ def text_diff_edited(spark, sf_dir):
 
 @query("fenced_spans")
 def fenced_spans(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("a\n```py\n"), F.substring("text", 1, 600), F.lit("\n```\nend\n~~~~\nopen")).alias("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("a\n```py\n"), F.col("text"), F.lit("\n```\nend\n~~~~\nopen")).alias("text"))
     return docs.lateralJoin(ops.FencedSpans(F.col("text").outer())).select("doc_id", "span_start", "span_end")
 
 
