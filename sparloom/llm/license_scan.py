@@ -7,14 +7,18 @@ task; a document's fingerprints pick (template, diagonal) candidates, and a
 banded local alignment of words (match 2, mismatch or gap -1) around the
 diagonal reports which template words matched and where.
 
-One row per found passage: document, template, word span [first_word, last_word),
-matched and template words, coverage = matched / template words.  Passages that
+Aligned passages of one template that follow each other in document and template
+order are chained (an overlap of up to ``BAND`` matched words counts once), so a
+template broken by insertions of any length is one row.  One row per chain:
+document, template, word span [first_word, last_word), matched and template words,
+coverage = matched / template words, and the spans of its passages.  Chains that
 cover at least ``LEAST`` of a template are reported.  No shuffle is needed.
 
 Defined cases: null texts have no words and no rows; repeated rows report again;
-a passage that matches several templates is reported for each; a template may
-occur any number of times in a document, and a break longer than the band parts
-an occurrence into two passages; further columns are not used.
+a passage that matches several templates is reported for each, but a chain of
+several passages that all lie within a longer match of another template is not
+reported; a template may
+occur any number of times in a document; further columns are not used.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ from .license_templates import TEMPLATES
 
 GRAM, WINDOW, BAND, LEAST = 3, 3, 8, 0.5
 MATCH, MISS = 2, -1
+_SPANS = pa.list_(pa.struct([("first_word", pa.int64()), ("last_word", pa.int64())]))
 
 
 def _words(data, off):
@@ -79,7 +84,13 @@ class Index:
 
 
 def align(template: list[bytes], words: list[bytes], shift: int, band: int = BAND) -> tuple[int, int, int]:
-    """Banded local alignment: (matched words, first word, end word) of the best passage.
+    """(matched words, first word, end word) of the best passage."""
+    matched, first, last = matches(template, words, shift, band)
+    return len(matched), first, last
+
+
+def matches(template: list[bytes], words: list[bytes], shift: int, band: int = BAND) -> tuple[list[tuple[int, int]], int, int]:
+    """Banded local alignment: ((template word, word) pairs, first word, end word) of the best passage.
 
     Cell (i, j) compares template word i with word j; only |j - i - shift| <= band is filled.
     """
@@ -103,26 +114,49 @@ def align(template: list[bytes], words: list[bytes], shift: int, band: int = BAN
                 if s > best:
                     best, end = s, (i, d)
     if end is None:
-        return 0, 0, 0
-    (i, d), matched = end, 0
+        return [], 0, 0
+    (i, d), matched = end, []
     last = first = i + shift + d - 1 - band
     while score[i][d] > 0:
         j, step = i + shift + d - 1 - band, back[i][d]
         if step == 1:
-            matched += words[j - 1] == template[i - 1]
+            if words[j - 1] == template[i - 1]:
+                matched.append((i - 1, j - 1))
             first = j - 1
             i -= 1
         elif step == 2:
             i, d = i - 1, d + 1
         else:
             d -= 1
-    return matched, first, last
+    return matched[::-1], first, last
+
+
+def best_chain(parts: list[tuple[list[tuple[int, int]], int, int]]) -> tuple[int, list[int]]:
+    """(matched words, which parts) of the chain with most matched words; parts are (pairs, first word, end word) by first word."""
+    total, back = [], []
+    for k, (pairs, first, last) in enumerate(parts):
+        score, at = len(pairs), -1
+        for p in range(k):
+            before, a, b = parts[p]
+            if a >= first or b >= last or before[0][0] >= pairs[0][0] or before[-1][0] >= pairs[-1][0]:
+                continue
+            gain = sum(i > before[-1][0] and j >= b for i, j in pairs)
+            if gain and len(pairs) - gain <= BAND and total[p] + gain > score:
+                score, at = total[p] + gain, p
+        total.append(score)
+        back.append(at)
+    k = max(range(len(parts)), key=lambda x: total[x])
+    chain, score = [], total[k]
+    while k >= 0:
+        chain.append(k)
+        k = back[k]
+    return score, chain[::-1]
 
 
 def _scan(index, least: float):
     def passages(entries, words, ix):
         """entries: (template, place, word) hits of one document."""
-        found = []
+        found, parts = [], {}
         entries = sorted(entries, key=lambda e: (e[0], e[2] - e[1], e[2]))
         at = 0
         while at < len(entries):
@@ -135,17 +169,25 @@ def _scan(index, least: float):
             middle = (first + shift) // 2
             lo = max(0, middle - BAND)
             part = words[lo : max(0, middle) + len(template) + BAND]
-            matched, a, b = align(template, part, middle - lo)
-            if matched >= least * len(template):
-                found.append((ix.names[t], lo + a, lo + b, matched, len(template)))
+            pairs, a, b = matches(template, part, middle - lo)
+            if pairs:
+                parts.setdefault(t, []).append(([(i, lo + j) for i, j in pairs], lo + a, lo + b))
             at = upto
-        # one passage is reported once, by its best alignment
-        found.sort(key=lambda f: (f[0], -f[3], f[1]))
-        kept = []
-        for f in found:
-            if not any(k[0] == f[0] and f[1] < k[2] and k[1] < f[2] for k in kept):
-                kept.append(f)
-        return sorted(kept, key=lambda f: (f[1], f[0]))
+        for t, left in parts.items():
+            left.sort(key=lambda p: (p[1], p[2]))
+            size = len(ix.words[t])
+            while left:
+                matched, chain = best_chain(left)
+                if matched < least * size:
+                    break
+                spans = [left[k][1:] for k in chain]
+                found.append((ix.names[t], spans[0][0], spans[-1][1], matched, size, [{"first_word": a, "last_word": b} for a, b in spans]))
+                # one passage is reported once, by its best chain
+                left = [p for p in left if not any(p[1] < b and a < p[2] for a, b in spans)]
+        # pieces within a better match of another template are that licence's words, not a broken one of this
+        inside = lambda f, g: all(any(y["first_word"] <= x["first_word"] and x["last_word"] <= y["last_word"] for y in g[5]) for x in f[5])
+        found = [f for f in found if len(f[5]) == 1 or not any(g[0] != f[0] and g[3] > f[3] and inside(f, g) for g in found)]
+        return sorted(found, key=lambda f: (f[1], f[0]))
 
     def run(batches):
         ix = index.value
@@ -166,22 +208,22 @@ def _scan(index, least: float):
                     for f in passages(entries, words, ix):
                         rows.append(i + r)
                         out.append(f)
-            name, a, b, matched, size = zip(*out) if out else ((),) * 5
+            name, a, b, matched, size, spans = zip(*out) if out else ((),) * 6
             matched, size = np.array(matched, np.int64), np.array(size, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(name, pa.string()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(matched), pa.array(size), pa.array(matched / np.maximum(size, 1))],
-                names=["id", "license", "first_word", "last_word", "matched_words", "template_words", "coverage"],
+                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(name, pa.string()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(matched), pa.array(size), pa.array(matched / np.maximum(size, 1)), pa.array(spans, _SPANS)],
+                names=["id", "license", "first_word", "last_word", "matched_words", "template_words", "coverage", "spans"],
             )
 
     return run
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
-    """(id, license, first_word, last_word, matched_words, template_words, coverage) of every passage."""
+    """(id, license, first_word, last_word, matched_words, template_words, coverage, spans) of every chain of passages."""
     index = docs.sparkSession.sparkContext.broadcast(Index(TEMPLATES if templates is None else templates))
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("body"))
     kind = slim.schema["id"].dataType.simpleString()
-    return slim.mapInArrow(_scan(index, least), f"id {kind}, license string, first_word long, last_word long, matched_words long, template_words long, coverage double")
+    return slim.mapInArrow(_scan(index, least), f"id {kind}, license string, first_word long, last_word long, matched_words long, template_words long, coverage double, spans array<struct<first_word:long,last_word:long>>")
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
