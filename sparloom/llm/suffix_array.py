@@ -10,20 +10,20 @@ suffix on fixes the order inside each group along the same pointers.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Sequence
 
-def suffix_array(text: bytes) -> list[int]:
-    """Start positions of all suffixes of ``text`` in ascending order."""
+
+def suffix_array(text: Sequence[int]) -> list[int]:
+    """Start positions of all suffixes of ``text`` (bytes or any integers) in ascending order."""
     n = len(text) + 1
     # position n - 1 is the empty suffix, least of all
-    size = [0] * 257
-    size[0] = 1
-    for b in range(256):
-        size[b + 1] = text.count(b)
-    begin, at = [0] * 257, 0
-    for b in range(257):
-        begin[b] = at
-        at += size[b]
-    group = [begin[b + 1] for b in text]
+    size = Counter(text)
+    begin, at = {}, 1
+    for symbol in sorted(size):
+        begin[symbol] = at
+        at += size[symbol]
+    group = [begin[symbol] for symbol in text]
     group.append(0)
     order = sorted(range(n - 1), key=text.__getitem__)
     order.insert(0, n - 1)
@@ -31,9 +31,9 @@ def suffix_array(text: bytes) -> list[int]:
     for i, s in enumerate(order):
         place[s] = i
     count = [0] * (n + 1)  # members of the group that begins at an index
-    for b in range(257):
-        if size[b]:
-            count[begin[b]] = size[b]
+    count[0] = 1
+    for symbol, first in begin.items():
+        count[first] = size[symbol]
     before = [-1] * n
     top = n
     while top > 0:

@@ -3,21 +3,28 @@
 All copies go, the first too.  Texts are UTF-8 bytes; matches never cross
 documents, and strings are judged on the input.
 
-1. Anchors.  Of the 144-byte grams that start in the first 257 places of a
+1. Anchors.  Of the 145-byte grams that start in the first 256 places of a
    400-byte string, the string picks the rightmost least hash.  Equal strings
-   pick the same one, so they meet under its hash.  An anchor's extent is all
-   the strings that pick it there: one row per about 130 bytes.
-2. Equal extents.  Extents that occur twice or more go whole.  An anchor
-   with a single kind of extent is done.
-3. Suffix arrays.  Where extents around one anchor differ, one of each kind is
-   concatenated and sorted by linear grouping (see suffix_array); neighbours in
-   suffix order that agree in 400 bytes are repeats.  An anchor with more than
-   ``MOST`` kinds (an edge of a passage that very many documents hold) is
-   first split by string start: under (anchor, place, content), equal strings
-   meet and all others part, so no group is gathered.
-
-Skew: every task joins the equal extents of its own batch first, so a hot passage
-sends one row a batch.  Nothing is capped or sampled.
+   pick the same one at the same distance, so they meet under its hash.  An
+   anchor's extent is all the strings that pick it there: one row per about 130
+   bytes.
+2. Split by content.  Extents around one anchor may differ.  Strings at the
+   distances of one cell (16 neighbouring distances) share a core of 385 bytes,
+   so an extent is dealt as at most 16 rows, each under the hash of its core; what
+   is left of it are up to 15 bytes on either side.  The rows are split once
+   more, into cells of two distances: a core of 399 bytes and a byte on either
+   side.  Strings that are equal have equal cores, so they stay together, and a
+   group ends with at most 257 * 257 kinds, however many documents hold it.
+3. Suffix array.  The kinds of a group, each one entry with its count, are
+   written as byte, core, byte and sorted by linear grouping (see suffix_array);
+   neighbours in suffix order that agree in a whole string are repeats.
+
+The same steps are taken at every size of a group; a step sees only the rows of
+groups that hold different kinds (the rest is settled by its count).
+
+Skew: every task joins the equal rows of its own batch first, so a hot passage
+sends one row a batch.  Nothing is capped or sampled, and no group is gathered
+before step 3, where its size is bounded.
 
 Defined cases: null texts are empty; texts under 400 bytes lose nothing; a
 repeated row is another document with the same text; null ids are kept; where a
@@ -37,31 +44,42 @@ from pyspark.sql import functions as F
 from . import common as c
 from .suffix_array import suffix_array
 
-LENGTH, GRAM, MOST = 400, 144, 64
-FOUND = "key long, alt long, kind int, many int, id long, tid long, lo int, hi int"
+LENGTH, GRAM, CELL = 400, 145, 16
+REACH = LENGTH - GRAM + 1
+SIDE = CELL - 1
+#: key, more: two hashes of what a group has in common; alt: of a row's whole content.
+FOUND = "key long, more long, alt long, kind int, many int, id long, tid long, lo int, hi int, at int, sides binary"
 REMOTE, LOCAL = 0, 1
 ROW = ["id", "tid", "lo", "hi"]
+#: Entries that one suffix array takes, unless a single group has more.
+ENTRIES = 1 << 15
 
 
-def _settle(key, alt, ids, tids, lo, hi):
+def _settle(key, more, alt, many, ids, tids, lo, hi, at, sides):
     """Join the rows of one batch: one REMOTE row for each kind with its count, LOCAL ranges of those counted twice or more."""
     order = np.lexsort((lo, tids, ids, alt, key))
-    key, alt, ids, tids, lo, hi = (x[order] for x in (key, alt, ids, tids, lo, hi))
+    key, more, alt, many, ids, tids, lo, hi, at = (x[order] for x in (key, more, alt, many, ids, tids, lo, hi, at))
     new = np.flatnonzero(c.first_of_runs(key, alt))
-    many = np.diff(np.append(new, len(key)))
-    gone = np.flatnonzero(np.repeat(many, many) > 1)
+    if not len(new):
+        return None
+    size = np.diff(np.append(new, len(key)))
+    total = np.minimum(np.add.reduceat(many, new), 2)
+    gone = np.flatnonzero(np.repeat(size, size) > 1)
     ids_l, tids_l, lo_l, hi_l = c.merge_by_row(ids[gone], tids[gone], lo[gone], hi[gone])
     own = c.signed(c.mix(ids_l.view(np.uint64) + tids_l.view(np.uint64)))
     cat = np.concatenate
     zero = np.zeros(len(own), np.int64)
     kind = np.repeat([REMOTE, LOCAL], [len(new), len(own)])
-    columns = [cat([c.signed(key[new]), own]), cat([c.signed(alt[new]), own]), kind.astype(np.int32), cat([many, zero]).astype(np.int32), cat([ids[new], ids_l]), cat([tids[new], tids_l]), cat([lo[new], lo_l]).astype(np.int32), cat([hi[new], hi_l]).astype(np.int32)]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "alt", "kind", "many", *ROW])
+    long = [cat([c.signed(x[new]), own]) for x in (key, more, alt)]
+    places = [cat([x[new], y]) for x, y in ((ids, ids_l), (tids, tids_l), (lo, lo_l), (hi, hi_l), (at, zero))]
+    small = [pa.array(x.astype(np.int32)) for x in (kind, cat([total, zero]))]
+    said = pa.array([*(sides[k] for k in order[new].tolist()), *[b""] * len(own)] if sides is not None else [b""] * len(kind), pa.binary())
+    columns = [*map(pa.array, long), *small, *map(pa.array, places[:2]), *(pa.array(x.astype(np.int32)) for x in places[2:]), said]
+    return pa.RecordBatch.from_arrays(columns, names=["key", "more", "alt", "kind", "many", *ROW, "at", "sides"])
 
 
 def _seed(batches):
-    """Anchors of batches of (id, tid, text)."""
-    reach = LENGTH - GRAM + 1
+    """Extents of batches of (id, tid, text)."""
     for batch in batches:
         ids_all, tids_all = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
         data, off = c.text_buffers(batch.column(2))
@@ -73,7 +91,7 @@ def _seed(batches):
             prefix = c.Prefix(c.LUT_A[part])
             at = np.arange(n - GRAM + 1)
             grams = prefix.hash(at, at + GRAM)
-            pick = c.window_argmin((grams >> c.U(32)).astype(np.uint32), reach)
+            pick = c.window_argmin((grams >> c.U(32)).astype(np.uint32), REACH)
             size = np.diff(poff)
             long_rows = np.flatnonzero(size >= LENGTH)
             many = size[long_rows] - LENGTH + 1
@@ -86,116 +104,147 @@ def _seed(batches):
             lo, hi = start[new], start[np.append(new[1:] - 1, len(start) - 1)]
             anchor, r = chosen[new], row[new]
             alt = prefix.hash(lo, hi + LENGTH) ^ c.mix((anchor - lo).astype(np.uint64))
-            parts.append((grams[anchor], alt, ids_all[i:j][r], tids_all[i:j][r], lo - poff[r], hi - poff[r]))
+            parts.append((grams[anchor], alt, ids_all[i:j][r], tids_all[i:j][r], lo - poff[r], hi - poff[r], anchor - poff[r]))
         if parts:
-            yield _settle(*(np.concatenate(x) for x in zip(*parts)))
+            key, alt, *places = (np.concatenate(x) for x in zip(*parts))
+            yield _settle(key, key, alt, np.ones(len(key), np.int64), *places, None)
 
 
-def _marked(batch):
-    """Rows of (id, tid, text, marks): chunk by chunk with the marks' numpy columns."""
-    data, off = c.text_buffers(batch.column(2))
-    marks = batch.column(3)
-    moff = np.asarray(marks.offsets)
-    fields = {x: marks.values.field(x).to_numpy(zero_copy_only=False) for x in ("key", "lo", "hi")}
-    for i, j, part, poff in c.chunks(data, off):
-        take = slice(moff[i], moff[j])
-        r = np.repeat(np.arange(j - i), np.diff(moff[i : j + 1]))
-        yield i, part, poff, r, *(fields[x][take] for x in ("key", "lo", "hi"))
+def _cells(batches):
+    """Extents of batches of (id, tid, text, marks) as rows under the hash of their cores.
 
-
-def _extents(batches):
-    """The bytes of each marked extent under its anchor."""
-    for batch in batches:
-        out = ([], [], [], [], [])
-        for i, part, poff, r, key, lo, hi in _marked(batch):
-            whole = part.tobytes()
-            for row, k, a, b in zip(r.tolist(), key.tolist(), lo.tolist(), hi.tolist()):
-                at = int(poff[row])
-                for x, y in zip(out, (k, whole[at + a : at + b + LENGTH], i + row, a, b)):
-                    x.append(y)
-        rows = pa.array(out[2], pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(out[3], pa.int32()), pa.array(out[4], pa.int32())],
-            names=["key", "bytes", *ROW],
-        )
-
-
-def _strings(batches):
-    """Every string of the marked extents under (anchor, content)."""
+    A cell holds the distances a .. a + SIDE from a string's start to its anchor.
+    """
     for batch in batches:
         ids_all, tids_all = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-        parts = []
-        for i, part, poff, r, _, lo, hi in _marked(batch):
-            many = (hi - lo + 1).astype(np.int64)
-            start = np.repeat(lo - np.append(0, np.cumsum(many))[:-1], many) + np.arange(int(many.sum()))
-            r = np.repeat(r, many)
-            at = poff[r] + start
-            key = c.Prefix(c.LUT_A[part]).hash(at, at + LENGTH)
-            alt = c.Prefix(c.LUT_B[part]).hash(at, at + LENGTH)
-            parts.append((key, alt, ids_all[i + r], tids_all[i + r], start, start))
+        data, off = c.text_buffers(batch.column(2))
+        marks = batch.column(3)
+        moff = np.asarray(marks.offsets)
+        fields = [marks.values.field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("lo", "hi", "at", "many")]
+        parts, sides = [], []
+        for i, j, part, poff in c.chunks(data, off):
+            lo, hi, at, many = (x[moff[i] : moff[j]] for x in fields)
+            r = np.repeat(np.arange(j - i), np.diff(moff[i : j + 1]))
+            if not len(r):
+                continue
+            a, b = c.Prefix(c.LUT_A[part]), c.Prefix(c.LUT_B[part])
+            near, far = at - hi, at - lo
+            first = near // CELL
+            times = far // CELL - first + 1
+            take = np.repeat(np.arange(len(r)), times)
+            cell = np.repeat(first - np.append(0, np.cumsum(times))[:-1], times) + np.arange(len(take))
+            base, own, row = cell * CELL, poff[r][take], r[take]
+            x, y = np.maximum(near[take], base), np.minimum(far[take], base + SIDE)
+            p = at[take]
+            core, end = own + p - base, own + p - base - SIDE + LENGTH
+            place = c.mix((cell + 1).astype(np.uint64))
+            key, more = a.hash(core, end) ^ place, b.hash(core, end) ^ place
+            whole = c.mix(b.hash(own + p - y, own + p - x + LENGTH) ^ c.mix((y * REACH + x).astype(np.uint64)))
+            parts.append((key, more, whole, many[take], ids_all[i:j][row], tids_all[i:j][row], p - y, p - x, y - base))
+            bytes_ = part.tobytes()
+            # the left side is kept from the core outward
+            sides += [bytes([v - u]) + bytes_[u:v][::-1] + bytes_[e:z] for u, v, e, z in zip((own + p - y).tolist(), core.tolist(), end.tolist(), (own + p - x + LENGTH).tolist())]
         if parts:
-            yield _settle(*(np.concatenate(x) for x in zip(*parts)))
-
-
-def repeated_starts(extents: list[bytes], starts: list[int]) -> list[list[int]]:
-    """Which of the first ``starts[i]`` places of each extent start a repeated string."""
-    text = b"".join(extents)
-    limit = bytearray(len(text))  # 1 where a string may start
-    base, at = [], 0
-    for x, n in zip(extents, starts):
-        base.append(at)
-        limit[at : at + n] = b"\1" * n
-        at += len(x)
-    found = bytearray(len(text))
-    last = None
-    for s in suffix_array(text):
-        if not limit[s]:
+            yield _settle(*(np.concatenate(x) for x in zip(*parts)), sides)
+
+
+def _pairs(batches):
+    """Rows of ``_cells`` split into cells of two distances: a byte or none (256) on either side."""
+    for batch in batches:
+        if not len(batch):
             continue
-        string = text[s : s + LENGTH]
-        if last is not None and string == last[0]:
-            found[s] = found[last[1]] = 1
-        last = (string, s)
-    return [[k for k in range(n) if found[b + k]] for b, n in zip(base, starts)]
+        key, more, many, ids, tids, lo, most = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("key", "more", "many", "id", "tid", "lo", "at"))
+        raw = batch.column("sides").to_pylist()
+        n = len(raw)
+        left, right = np.zeros((n, SIDE), np.int64), np.zeros((n, SIDE), np.int64)
+        least = np.zeros(n, np.int64)
+        flat = np.frombuffer(b"".join(x[1 : 1 + x[0]].ljust(SIDE, b"\0") + x[1 + x[0] :].ljust(SIDE, b"\0") for x in raw), np.uint8).reshape(n, 2 * SIDE)
+        left[:], right[:] = flat[:, :SIDE], flat[:, SIDE:]
+        least = SIDE - (np.array([len(x) - 1 - x[0] for x in raw], np.int64))  # strings stand at the distances least .. most of the cell
+        lut_a, lut_b = c.LUT_A, c.LUT_B
+
+        def run(lut, side):
+            sums = [np.zeros(n, np.uint64)]
+            for k in range(SIDE):
+                sums.append(c.mix(sums[-1] * c._P + lut[side[:, k]]))
+            return sums
+
+        la, ra, lb, rb = run(lut_a, left), run(lut_a, right), run(lut_b, left), run(lut_b, right)
+        parts, sides = [], []
+        for b in range(0, CELL, 2):
+            ok = np.flatnonzero((least <= b + 1) & (most >= b))
+            if not len(ok):
+                continue
+            place = c.U(b + 1)
+            k3 = c.mix(c.mix(key[ok].view(np.uint64) * c._P + la[b][ok]) * c._P + ra[SIDE - 1 - b][ok] + place)
+            m3 = c.mix(c.mix(more[ok].view(np.uint64) * c._P + lb[b][ok]) * c._P + rb[SIDE - 1 - b][ok] + place)
+            outer = np.where(most[ok] > b, left[ok, b], 256)
+            inner = np.where(least[ok] <= b, right[ok, SIDE - 1 - b], 256)
+            alt = c.mix(m3 + (outer * 257 + inner).astype(np.uint64) * c._P)
+            from_, to = lo[ok] + most[ok] - np.minimum(most[ok], b + 1), lo[ok] + most[ok] - np.maximum(least[ok], b)
+            parts.append((k3, m3, alt, many[ok].astype(np.int64), ids[ok], tids[ok], from_.astype(np.int64), to.astype(np.int64), outer * 257 + inner))
+        if parts:
+            made = _settle(*(np.concatenate(x) for x in zip(*parts)), None)
+            if made is not None:
+                yield made
+
 
+def repeated(cores: list[int], outer: list[int], inner: list[int], many: list[int]) -> list[tuple[int, int]]:
+    """(entry, 1 for the string that begins with the outer byte or 0 for the one at the core) of all repeated strings.
 
-def _sorted_groups(batches):
-    """Extents sorted by key: ranges of starts whose strings repeat within an anchor's extents."""
+    An entry reads outer byte, core, inner byte, where 256 stands for no byte.
+    """
+    symbol = {core: 257 + k for k, core in enumerate(dict.fromkeys(cores))}
+    text: list[int] = []
+    begins: list[tuple[int, int] | None] = []
+    for k, (core, o, i) in enumerate(zip(cores, outer, inner)):
+        if o < 256:
+            text.append(o)
+            begins.append((k, 1))
+        text.append(symbol[core])
+        begins.append((k, 0) if i < 256 else None)
+        if i < 256:
+            text.append(i)
+            begins.append(None)
+    found, run, last = [], [], None
+    for s in [*suffix_array(text), None]:
+        own = None if s is None else begins[s]
+        if s is not None and own is None:
+            continue
+        string = None if s is None else (text[s], text[s + 1])
+        if string != last:
+            if len(run) > 1 or run and many[run[0][0]] > 1:
+                found += run
+            run, last = [], string
+        if own is not None:
+            run.append(own)
+    return found
+
+
+def _arrays(batches):
+    """Entries sorted by (key, more): the ranges that suffix arrays over whole groups find repeated."""
     held = None
 
     def done(table):
-        keys = table.column("key").to_numpy()
-        cuts = np.append(np.flatnonzero(c.first_of_runs(keys)), len(keys))
-        lo = table.column("lo").to_numpy()
-        hi = table.column("hi").to_numpy()
-        content = table.column("bytes")
-        rows, lows, highs = [], [], []
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            if b - a < 2:
-                continue
-            extents = content.slice(a, b - a).to_pylist()
-            for k, places in enumerate(repeated_starts(extents, (hi[a:b] - lo[a:b] + 1).tolist())):
-                if places:
-                    p = np.array(places)
-                    x, y = c.merge_ranges(p, p + 1)
-                    rows += [a + k] * len(x)
-                    lows += (x + lo[a + k]).tolist()
-                    highs += (y - 1 + lo[a + k]).tolist()
-        if rows:
-            take = pa.array(rows)
-            at = table.select(["id", "tid"]).take(take).combine_chunks()
-            yield pa.RecordBatch.from_arrays([at.column("id").combine_chunks(), at.column("tid").combine_chunks(), pa.array(lows, pa.int32()), pa.array(highs, pa.int32())], names=ROW)
+        key, more, ids, tids, lo, hi, at, many = (table.column(x).to_numpy() for x in ("key", "more", *ROW, "at", "many"))
+        group = np.cumsum(c.first_of_runs(key, more)) - 1
+        found = np.array(repeated(group.tolist(), (at // 257).tolist(), (at % 257).tolist(), many.tolist()), np.int64).reshape(-1, 2)
+        k, first = found[:, 0], found[:, 1] == 1
+        place = np.where(first, lo[k], hi[k])
+        made = c.merge_by_row(ids[k], tids[k], place, place)
+        return pa.RecordBatch.from_arrays([pa.array(made[0]), pa.array(made[1]), pa.array(made[2].astype(np.int32)), pa.array(made[3].astype(np.int32))], names=ROW)
 
     for batch in batches:
         held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-        if not len(held):
+        if len(held) < ENTRIES:
             continue
         keys = held.column("key").to_numpy()
-        cut = int(np.searchsorted(keys, keys[-1]))
+        cut = int(np.searchsorted(keys, keys[-1]))  # the last group may go on
         if cut:
-            yield from done(held.slice(0, cut))
+            yield done(held.slice(0, cut))
             held = held.slice(cut)
     if held is not None and len(held):
-        yield from done(held)
+        yield done(held)
 
 
 def _apply(n_in: int):
@@ -231,22 +280,19 @@ def _apply(n_in: int):
     return run
 
 
-def _counted(found: DataFrame, kinds: bool) -> DataFrame:
-    """Join rows of one kind over all batches: ranges that go, and (with kinds) extents still open."""
-    same = Window.partitionBy("key", "alt", "kind").orderBy("id", "tid", "lo")
-    every = Window.partitionBy("key", "alt", "kind")
+def _counted(found: DataFrame) -> DataFrame:
+    """Rows of one kind over all batches: ``gone`` if counted twice, ``first`` on the one that stands for its kind."""
+    same = Window.partitionBy("key", "alt", "kind")
     remote = F.col("kind") == REMOTE
-    found = found.repartition("key").withColumn("place", F.row_number().over(same)).withColumn("total", F.sum("many").over(every))
-    found = found.withColumn("gone", ~remote | (F.col("total") > 1))
-    if not kinds:
-        return found.where("gone").select(*ROW)
-    found = found.withColumn("kinds", F.sum(F.when(remote & (F.col("place") == 1), 1).otherwise(0)).over(Window.partitionBy("key")))
-    open_ = remote & (F.col("place") == 1) & (F.col("kinds") > 1)
-    return found.where(F.col("gone") | open_).select("key", *ROW, "gone", open_.alias("open"), (F.col("kinds") > MOST).alias("hot"))
+    rows = found.repartition("key", "alt").withColumn("place", F.row_number().over(same.orderBy("id", "tid", "lo"))).withColumn("total", F.sum("many").over(same))
+    return rows.select("key", "more", "alt", F.least("total", F.lit(2)).cast("int").alias("many"), *ROW, "at", "sides", (~remote | (F.col("total") > 1)).alias("gone"), (remote & (F.col("place") == 1)).alias("first"))
 
 
-def _marks(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("id", "tid").agg(F.collect_list(F.struct("key", "lo", "hi")).alias("marks"))
+def _open(rows: DataFrame) -> DataFrame:
+    """One row for each kind of the groups that hold several; a group is never gathered."""
+    kinds = rows.where("first")
+    several = kinds.groupBy("key").agg(F.min("alt").alias("a"), F.max("alt").alias("b")).where("a <> b").select("key")
+    return kinds.join(several, "key", "left_semi")
 
 
 def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "dedup") -> DataFrame:
@@ -257,22 +303,22 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ws = c.Workspace(docs.sparkSession, "suffix")
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     slim = docs.select(c.id_key(F.col(id_col)).alias("id"), F.xxhash64(body).alias("tid"), body.alias("body"))
-    first = ws.save(_counted(slim.mapInArrow(_seed, FOUND), True), "extents")
+    extents = ws.save(_counted(slim.mapInArrow(_seed, FOUND)), "extents")
+    ws.tidy()
+    marks = _open(extents).groupBy("id", "tid").agg(F.collect_list(F.struct("lo", "hi", "at", "many")).alias("marks"))
+    marked = slim.dropDuplicates(["id", "tid"]).join(marks, ["id", "tid"]).select("id", "tid", "body", "marks")
+    cells = ws.save(_counted(marked.mapInArrow(_cells, FOUND)), "cells")
     ws.tidy()
-    marked = lambda hot: slim.dropDuplicates(["id", "tid"]).join(_marks(first.where(F.col("open") & (F.col("hot") == hot))), ["id", "tid"]).select("id", "tid", "body", "marks")
-    kinds = "id long, tid long, lo int, hi int"
-    groups = marked(False).mapInArrow(_extents, f"key long, bytes binary, {kinds}").repartition("key").sortWithinPartitions("key")
-    second = ws.save(groups.mapInArrow(_sorted_groups, kinds), "sorted")
-    third = None
-    if first.where("open and hot").limit(1).count():
-        third = ws.save(_counted(marked(True).mapInArrow(_strings, FOUND), False), "split")
+    pairs = ws.save(_counted(_open(cells).mapInArrow(_pairs, FOUND)), "pairs")
+    entries = _open(pairs).select("key", "more", *ROW, "at", "many").repartition("key").sortWithinPartitions("key", "more")
+    sorted_ = ws.save(entries.mapInArrow(_arrays, "id long, tid long, lo int, hi int"), "sorted")
     ws.tidy()
-    gone = first.where("gone").select(*ROW).unionByName(second)
-    gone = gone.unionByName(third) if third is not None else gone
-    taken = list(docs.columns)
+    gone = sorted_
+    for rows in (extents, cells, pairs):
+        gone = gone.unionByName(rows.where("gone").select(*ROW))
     names = []
     for name in ("_id", "_body", "_tid", "_cut"):
-        names.append(c.fresh([*taken, *names], name))
+        names.append(c.fresh([*docs.columns, *names], name))
     key, text, tid, cut_name = names
     cut = gone.groupBy(F.col("id").alias(key), F.col("tid").alias(tid)).agg(F.collect_list(F.struct("lo", "hi")).alias(cut_name))
     whole = docs.withColumn(key, c.id_key(F.col(id_col))).withColumn(text, body).withColumn(tid, F.xxhash64(F.col(text))).join(cut, [key, tid], "left")

@@ -50,16 +50,45 @@ def test_bytes(spark, rows):
     assert got == bag((i, *x) for (i, *_), x in zip(rows, brute.bytes_anywhere(rows)))
 
 
-def test_bytes_with_hot_anchor(spark, monkeypatch):
-    """Over MOST kinds of extents around one anchor: split by string, same result."""
-    rng = __import__("random").Random(3)
+@pytest.mark.parametrize("kinds", [3, 90, 400])
+def test_bytes_with_hot_anchor(spark, kinds):
+    """Few and many kinds of extents around one anchor, some alike beyond the passage: the same steps, the same result."""
+    rng = __import__("random").Random(kinds)
     noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
-    passage = noise(700)
-    rows = [(i, noise(rng.randrange(50, 300)) + passage[rng.randrange(0, 9) :] + noise(200), None, None, None) for i in range(90)]
+    passage, ends = noise(700), [noise(9) for _ in range(5)]
+    rows = [(i, noise(rng.randrange(50, 300)) + rng.choice(ends)[rng.randrange(9) :] + passage[rng.randrange(0, 9) :] + rng.choice(ends) + noise(200), None, None, None) for i in range(kinds)]
     got = bag((r.doc_id, *tuple(r.dedup)[:4]) for r in suffix_dedup.dedup_bytes(spark.createDataFrame(rows, brute.SCHEMA)).collect())
     assert got == bag((i, *x) for (i, *_), x in zip(rows, brute.bytes_anywhere(rows)))
 
 
+def test_rows_of_a_hot_group_grow_in_proportion(spark):
+    """Documents that share one passage between surroundings of their own."""
+    rng = __import__("random").Random(8)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, many = noise(700), {}
+    for n in (40, 160):
+        docs = spark.createDataFrame([(i, i, noise(300) + passage + noise(300)) for i in range(n)], "id long, tid long, body string")
+        kinds = suffix_dedup._open(suffix_dedup._counted(docs.mapInArrow(suffix_dedup._seed, suffix_dedup.FOUND)))
+        marks = kinds.groupBy("id", "tid").agg(F.collect_list(F.struct("lo", "hi", "at", "many")).alias("marks"))
+        many[n] = docs.join(marks, ["id", "tid"]).select("id", "tid", "body", "marks").mapInArrow(suffix_dedup._cells, suffix_dedup.FOUND).count()
+    assert 3 * many[40] < many[160] < 5 * many[40]
+
+
+def test_arrays_over_entries():
+    """Entries of (core, outer byte, inner byte) against counted strings."""
+    rng = __import__("random").Random(9)
+    for _ in range(200):
+        n = rng.randrange(1, 12)
+        kinds = list({(rng.randrange(3), rng.choice([0, 1, 255, 256]), rng.choice([0, 1, 256])) for _ in range(n)})
+        many = [rng.choice([1, 1, 2]) for _ in kinds]
+        count = {}
+        for (core, o, i), m in zip(kinds, many):
+            for string in ((core, "outer", o),) * (o < 256) + ((core, "inner", i),) * (i < 256):
+                count[string] = count.get(string, 0) + m
+        want = {(k, 1) for k, (core, o, _) in enumerate(kinds) if count.get((core, "outer", o), 0) > 1} | {(k, 0) for k, (core, _, i) in enumerate(kinds) if count.get((core, "inner", i), 0) > 1}
+        assert set(suffix_dedup.repeated(*map(list, zip(*kinds)), many)) == want
+
+
 def test_bytes_of_table(spark, sf, docs):
     got = bag(tuple(r) for r in suffix_dedup.op6_suffix_dedup(spark, sf).collect())
     assert got == bag((r[0], *x) for r, x in zip(docs[1], brute.bytes_anywhere(docs[1])))
