@@ -7,11 +7,12 @@ occur, and every backslash too, so the escape is undone exactly:
     backslash -> \\b    [INST -> \\iINST    [/INST -> \\i/INST    </s> -> \\s/s>
     in roles also: ] -> \\c    newline -> \\n
 
-Every assistant turn is an example of its own: its context is everything before
-it, and only that reply is trainable.  All examples of a conversation are
-prefixes of one formatted text, so the table holds that text once and each
-example as the offsets of its context and target: it grows with the turns, not
-with their square.  ``examples`` writes the prefixes out where that is wanted.
+Every assistant turn is exploded into an example of its own: its context is
+everything before it, and only that reply is under the loss mask.  All examples
+of a conversation are prefixes of one formatted text, so the table holds that
+text once and each example as offsets, its target cut out by them: it grows with
+the turns, not with their square.  ``examples`` writes the prefixes out where
+that is wanted.  A conversation is one row, so it must fit in a task's memory.
 
 Defined cases: null text or role is empty; turns are ordered by (turn, role,
 text), null turns first, and repeated rows stay repeated; rows with a null
@@ -69,10 +70,22 @@ def format_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: s
     return gathered.select("conv_id", F.array_join(F.transform("turns", lambda t: t["whole"]), "").alias("formatted"), "examples")
 
 
+def expanded(formatted: DataFrame, *keep: Column) -> DataFrame:
+    """One row per assistant turn: (conv_id, turn, target_start, target_end, target) and what ``keep`` names.
+
+    ``target`` is what stands under the loss mask, cut out of the formatted text by the
+    offsets alone.  A conversation without assistant turns keeps one row of nulls.
+    """
+    cut = lambda e: F.substring("formatted", (e["target_start"] + 1).cast("int"), (e["target_end"] - e["target_start"]).cast("int"))
+    spans = F.transform("examples", lambda e: F.struct(e["turn"].alias("turn"), e["target_start"].alias("target_start"), e["target_end"].alias("target_end"), cut(e).alias("target")))
+    rows = formatted.select("conv_id", *keep, F.explode_outer(spans).alias("e"))
+    return rows.select(*rows.columns[:-1], "e.*")
+
+
 def examples(formatted: DataFrame) -> DataFrame:
-    """One row per assistant turn: (conv_id, turn, text, target_start, target_end), the text ending with its reply."""
-    rows = formatted.select("conv_id", "formatted", F.explode("examples").alias("e"))
-    return rows.select("conv_id", "e.turn", F.substring("formatted", F.lit(1), F.col("e.target_end").cast("int")).alias("text"), "e.target_start", "e.target_end")
+    """Each example written out: (conv_id, turn, text, target_start, target_end), all preceding turns as context, the text ending with the reply."""
+    rows = expanded(formatted, F.col("formatted")).where("turn is not null")
+    return rows.select("conv_id", "turn", F.substring("formatted", F.lit(1), F.col("target_end").cast("int")).alias("text"), "target_start", "target_end")
 
 
 def parsed(formatted: DataFrame) -> DataFrame:
@@ -90,13 +103,14 @@ def parsed(formatted: DataFrame) -> DataFrame:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of what the formatted text and its loss spans say."""
+    """Digests of what the formatted text says, and of what its examples' loss masks cover."""
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform("examples", lambda e: F.element_at("turns", (e["turn"] + 1).cast("int"))["text"]), "")
-    rows = parsed(formatted).select("conv_id", F.size("turns").cast("long").alias("n_turns"), said.alias("said"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
+    whole = [F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"), F.length("formatted").cast("long").alias("formatted_chars")]
+    rows = expanded(parsed(formatted), *whole).withColumn("target", unescape(F.col("target")))
+    replies = F.array_sort(F.collect_list(F.when(F.col("turn").isNotNull(), F.struct("turn", "target"))))
+    rows = rows.groupBy("conv_id", "n_turns", "turns_sha256", "formatted_chars").agg(F.array_join(F.transform(replies, lambda e: e["target"]), "").alias("loss"))
     return rows.select(
-        "conv_id", "n_turns", F.sha2(F.col("said").cast("binary"), 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
-        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars",
+        "conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars",
     )
 
 

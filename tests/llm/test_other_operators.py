@@ -57,6 +57,26 @@ def test_chat_round_trip(spark):
     assert chat.read_back(chat.format_conversations(spark.createDataFrame([], kind))).count() == 0
 
 
+def test_loss_is_read_by_the_mask(spark, sf):
+    """Offsets that say another thing give other digests; the turns stay."""
+    made = chat.format_conversations(spark.read.parquet(f"{sf}/conversations.parquet")).cache()
+    shift = lambda by: made.withColumn("examples", F.transform("examples", lambda e: F.struct(e["turn"].alias("turn"), (e["target_start"] + by).alias("target_start"), e["target_end"].alias("target_end"))))
+    right, none, wrong = ({r.conv_id: r for r in chat.read_back(x).collect()} for x in (made, shift(0), shift(1)))
+    assert right == none and len(wrong) == len(right)
+    spoken = [k for k, r in right.items() if r.loss_chars]
+    assert spoken and all(wrong[k].loss_sha256 != right[k].loss_sha256 and wrong[k].turns_sha256 == right[k].turns_sha256 for k in spoken)
+    assert chat.expanded(made).where("turn is not null").count() == spark.read.parquet(f"{sf}/conversations.parquet").where("role = 'assistant'").count()
+
+
+def test_chat_of_long_texts_and_clashing_columns(spark):
+    kind = "conv_id long, turn long, role string, text string"
+    text = "[/INST] </s> \\ é" * 20_000
+    rows = spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", text), (1, 2, "assistant", None)], kind)
+    rows = rows.withColumns({x: F.lit(1) for x in ("formatted", "examples", "turns", "e", "target", "number", "at")})
+    back = chat.read_back(chat.format_conversations(rows)).collect()
+    assert [(r.n_turns, r.loss_chars, r.loss_sha256) for r in back] == [(3, len(text), __import__("hashlib").sha256(text.encode()).hexdigest())]
+
+
 def test_chat_is_native(spark, sf):
     plan = chat.op4_chat_format(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
