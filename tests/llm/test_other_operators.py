@@ -128,7 +128,7 @@ def test_nearest_on_small_tables_is_exact(spark):
     rows += [(1000, None), (1100, [0.0] * 8), (1200, [float("nan")] + [1.0] * 7), (1300, [None] + [1.0] * 7), (1400, [float("inf")] + [1.0] * 7), (None, common), (400, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("id", F.lit(100))
     got = {}
-    for r in nearest.nearest(df, F.col("id") % 100 == 0, least=0).orderBy("query_id", "rank").collect():
+    for r in nearest.nearest(df, F.col("id") % 100 == 0).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.score, r.vec_id))
     assert got == _exact(rows, 10)
 
@@ -143,10 +143,58 @@ def test_nearest_recall(spark):
     assert hits >= 0.9 * sum(map(len, want.values())) and all(got[q].get(i, d) == d for q, near in want.items() for d, i in near)
 
 
+def _scanned(monkeypatch, spark, rows, enough):
+    """(recall, share of the vectors that a query's parts and prefixes hold) of a search over ``rows``."""
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    seen = spark.sparkContext.accumulator(0)
+    plain = nearest._nearest
+
+    def counting(k, levels):
+        work = plain(k, levels)
+
+        def run(entries, queries):
+            strings = entries.column("string").to_numpy()
+            for s, bits in zip(queries.column("string").to_pylist(), queries.column("bits").to_pylist()):
+                first = s >> (levels - bits) << (levels - bits)
+                seen.add(int(len(strings) if not bits else np.searchsorted(strings, first + (1 << (levels - bits))) - np.searchsorted(strings, first)))
+            yield from work(entries, queries)
+
+        return run
+
+    monkeypatch.setattr(nearest, "_nearest", counting)
+    got = {}
+    for r in nearest.nearest(df, F.col("id") % 100 == 0, enough=enough).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = total = 0
+    for q in range(0, len(rows), 100):
+        far = ((rows - rows[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        near = set(np.argsort(far, kind="stable")[:10].tolist())
+        hits, total = hits + len(near & got[q]), total + 10
+    return hits / total, seen.value / len(range(0, len(rows), 100)) / len(rows)
+
+
+def test_nearest_prunes_clusters(spark, monkeypatch):
+    """Clustered vectors: under a tenth of them are looked at, counted once for every tree they are met in."""
+    rng = np.random.default_rng(3)
+    rows = np.repeat(rng.normal(size=(400, 64)), 50, axis=0) + rng.normal(size=(20_000, 64)) * 0.02
+    recall, share = _scanned(monkeypatch, spark, rows, nearest.ENOUGH)
+    assert recall >= 0.9 and share < 0.1
+
+
+def test_nearest_ascends_deep_in_a_dense_cluster(spark, monkeypatch):
+    """A third of all vectors in one cluster: trees stop at long prefixes, together, once they hold enough."""
+    rng = np.random.default_rng(4)
+    rows = rng.normal(size=(9000, 8))
+    rows[::3] = rows[0] + rng.normal(size=(3000, 8)) * 1e-3
+    recall, share = _scanned(monkeypatch, spark, rows, 1500)
+    assert recall >= 0.9 and share < 0.5
+
+
 def test_nearest_of_few(spark):
     kind = "vec_id long, embedding array<float>"
     assert nearest.nearest(spark.createDataFrame([], kind), F.col("id") % 100 == 0).count() == 0
-    two = nearest.nearest(spark.createDataFrame([(100, [1.0, 0.0]), (100, [1.0, 0.0]), (3, [0.0, 1.0])], kind), F.col("id") % 100 == 0, least=0).collect()
+    two = nearest.nearest(spark.createDataFrame([(100, [1.0, 0.0]), (100, [1.0, 0.0]), (3, [0.0, 1.0])], kind), F.col("id") % 100 == 0).collect()
     assert [tuple(r)[:3] for r in two] == [(100, 1, 3)]
 
 
