@@ -26,11 +26,52 @@ def test_pages_of_table(spark, sf):
     ('<div id="sidebar"><p>aside words</p></div><div class="content"><p>the  real\n text of it</p></div><div class="comments"><p>I say no to that</p></div>', "the real text of it"),
     ('<div class="cookie-notice">we use cookies</div><article class="post nav-open"><p>kept words</p>', "kept words"),
     ("<article><p>cut off in the mid", "cut off in the mid"),
+    ('<body><div class="masthead">The Daily Planet</div><div class="x1"><h1>A title</h1><p>It was so and so, and then it went on.</p><p class="promo-code-guide">Use the code at the till and see what comes of it in the end.</p></div><div class="colophon">Set in Garamond by the press</div></body>',
+     "A title It was so and so, and then it went on. Use the code at the till and see what comes of it in the end."),
+    ('<body><div class="masthead">The Daily Planet</div><article><h1>A title</h1><p>It was so and so, and then it went on.</p><p class="promo-code-guide">Use the code at the till and see what comes of it in the end.</p></article><div class="colophon">Set in Garamond by the press</div></body>',
+     "A title It was so and so, and then it went on. Use the code at the till and see what comes of it in the end."),
 ])
 def test_pages(page, text):
     assert html_extract.extract(page) == text
 
 
+def test_scan_alone_chooses_the_region(spark):
+    """Nothing left out of the region: the run itself is the article on the table's pages."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    right = 0
+    for r in rows:
+        inner = re.search("<article>(.*?)(</article>|$)", r.html, re.S)[1]
+        right += html_extract.extract(r.html, whole=True) == " ".join(html.unescape(re.sub("<[^>]*>", " ", re.sub("</?b>", "", inner))).split())
+    assert right >= 0.98 * len(rows)
+
+
+def test_held_out_layouts():
+    """Pages of other seeds than the weights were fitted on."""
+    from sparloom.llm.page_layouts import labelled_pages
+
+    right = many = 0
+    for page in labelled_pages(200, seed=77):
+        plain = re.sub(r"</?(?:a|b|i|em|span|code)\b[^>]*>", "", re.sub(r"<(style|title)\b.*?</\1>", "", page))
+        right += html_extract.extract(page.replace("{{", "").replace("}}", "")) == " ".join(re.findall(r"{{(.*?)}}", plain))
+        many += 1
+    assert right > 0.8 * many
+
+
+def test_best_run_is_the_greatest_sum():
+    rng = np.random.default_rng(0)
+    for _ in range(300):
+        scores = rng.integers(-5, 5, rng.integers(0, 25)).astype(float).tolist()
+        a, b = html_extract.best_run(scores)
+        assert sum(scores[a:b]) == max([0.0, *(sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1))])
+
+
+def test_long_and_deep_pages():
+    many = 30_000
+    words = " ".join(f"w{k}" for k in range(40))
+    assert html_extract.extract("<article>" + f"<p>{words}.</p>" * many + "</article>").count("w0") == many
+    assert html_extract.extract("<article><p>a b c.</p>" + "<div>" * many + "</i>" * many).startswith("a b c.")
+
+
 def test_pages_keep_columns_and_rows(spark):
     rows = spark.createDataFrame([(1, "<p>a b</p>", "t"), (1, "<p>a b</p>", "t"), (None, None, None)], "page_id long, html string, text string")
     out = html_extract.extract_pages(rows)
