@@ -1,16 +1,21 @@
 """Near copies of the pipeline: 5-word shingles, Jaccard similarity of ``ALIKE`` or more.
 
-Simhash at two bits finds hardly any of them (two texts at 0.8 are some ten bits
-apart), and a budget that reaches them leaves no byte surely equal, so the trie's
-buckets cannot hold them.  Candidates come from minhash instead: texts that agree
-in all ``ROWS`` minima of one of ``BANDS`` bands meet in a bucket (a pair at 0.8
-does with probability 0.9999), pairs whose 128-bit sketches are too far apart for
-``ALIKE`` are left out, and each pair left is checked exactly on both shingle sets.
+Two texts at 0.8 differ in some 39 bits of a 256-bit simhash of their shingles, far
+from the two bits of the digest query, so no bytes of it are surely equal and its buckets
+cannot deal the fingerprints out.  Minhash bands do: texts that agree in all ``ROWS``
+minima of one of ``BANDS`` bands meet in a bucket (a pair at 0.8 does with probability
+0.9999).  A bucket is searched twice, and every link is checked on the shingle sets.
+
+1. Star: each class of the bucket with the class nearest to the bucket's majority of bits.
+   Copies of one text lie around it, so most links are found by a row for each class.
+2. Trie: fingerprints of buckets that still hold several components are joined
+   with themselves by the binary trie walk (simhash.trie_pairs) within ``BUDGET`` differing
+   bits; a pair of classes of different components is checked where it is met, and only
+   links that join components go out.  No list of pairs is ever written.
 
 Texts of equal shingle sets are one class first, so exact copies make no pairs.  A
-bucket of over ``SMALL`` classes meets twice: first each class its neighbours in
-sketch order, and, once their links are components, all classes of different
-components.  A large group of near copies so never writes out its pairs.
+bucket of more than ``BLOCK`` classes is dealt in blocks, and the trie walk takes tiles of
+two blocks, so a task holds no more whatever the bucket's size.
 
 Defined cases: null and blank texts have no shingles and are one class; a text of
 under five words is one shingle; null ids link too.
@@ -26,18 +31,22 @@ from pyspark.sql import functions as F
 from . import common as c
 from .components import components
 from .decontaminate import LOWER
+from .trie import Forest, trie_pairs
 
 WIDTH, ALIKE = 5, 0.8
 BANDS, ROWS = 24, 5
-SMALL, NEXT = 16, 3
-#: Sketch bits in which a pair at ALIKE may differ: 12.8 of 128 are expected, with deviation 3.4.
-APART = 30
+#: Words of a fingerprint. Bits in which a pair at ALIKE may differ: 38.8 of 256 are expected, with deviation 5.7.
+WORDS, BUDGET = 4, 64
+#: Classes of a bucket that one star or tile holds.
+BLOCK = 2048
 _SOLID = np.ones(256, bool)
 _SOLID[list(b" \t\n\r\v\f")] = False
 _DRAW = np.random.default_rng(20240608)
-_XOR = _DRAW.integers(0, 1 << 32, BANDS * ROWS + 128, dtype=np.uint32)
-_TIMES = _DRAW.integers(0, 1 << 31, BANDS * ROWS + 128, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_KEYED = "cls long, s1 long, s2 long, keys array<long>"
+_XOR = _DRAW.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
+_TIMES = _DRAW.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_SALTS = _DRAW.integers(0, 1 << 63, WORDS, dtype=np.uint64)
+PRINT = [f"f{w}" for w in range(WORDS)]
+_KEYED = f"cls long, {', '.join(f'{x} long' for x in PRINT)}, keys array<long>"
 
 
 def shingles(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,37 +69,46 @@ def shingles(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return rows[new], h[new]
 
 
+def fingerprints(rows: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """(rows with shingles, WORDS): the bits set in over half of a row's hashes, ``rows`` sorted."""
+    at = np.flatnonzero(c.first_of_runs(rows))
+    size = np.diff(np.append(at, len(rows)))
+    made = np.zeros((len(at), WORDS), np.uint64)
+    for w in range(WORDS):
+        bits = np.unpackbits(c.mix(h ^ _SALTS[w]).view(np.uint8).reshape(-1, 8), axis=1)
+        many = np.add.reduceat(bits, at, axis=0, dtype=np.int32)
+        made[:, w] = np.packbits(2 * many > size[:, None], axis=1).view(np.uint64)[:, 0]
+    return made
+
+
 def sketches(rows: np.ndarray, h: np.ndarray, n: int):
-    """(cls, s1, s2, keys) of ``n`` rows; class 0 and no keys for rows without shingles."""
-    cls, sketch, keys = np.zeros(n, np.uint64), np.zeros((n, 128), bool), np.zeros((n, BANDS), np.uint64)
+    """(cls, fingerprint, keys) of ``n`` rows; class 0 and no keys for rows without shingles."""
+    cls, prints, keys = np.zeros(n, np.uint64), np.zeros((n, WORDS), np.uint64), np.zeros((n, BANDS), np.uint64)
     if not len(rows):
-        return cls, np.zeros((n, 2), np.uint64), keys
+        return cls, prints, keys
     at = np.flatnonzero(c.first_of_runs(rows))
     have = rows[at]
     size = np.diff(np.append(at, len(rows))).astype(np.uint64)
     cls[have] = np.maximum(c.mix(np.add.reduceat(c.mix(h), at) + size), c.U(1))
+    prints[have] = fingerprints(rows, h)
     short = (h >> c.U(32)).astype(np.uint32)
-    least = lambda k: np.minimum.reduceat((short ^ _XOR[k]) * _TIMES[k], at)
     for band in range(BANDS):
         made = np.full(len(at), band + 1, np.uint64)
         for k in range(band * ROWS, (band + 1) * ROWS):
-            made = c.mix(made * c._P + least(k))
+            made = c.mix(made * c._P + np.minimum.reduceat((short ^ _XOR[k]) * _TIMES[k], at))
         keys[have, band] = made
-    for bit in range(128):
-        # a minimum is small, so its own low bits are mixed before one is taken
-        sketch[have, bit] = (c.mix(least(BANDS * ROWS + bit).astype(np.uint64)) >> c.U(40)) & c.U(1)
-    return cls, np.packbits(sketch, axis=1).view(np.uint64), keys
+    return cls, prints, keys
 
 
 def _prints(batches):
-    """(id, body, tid) to (id, tid, cls, s1, s2, keys)."""
+    """(id, body, tid) to (id, tid, cls, fingerprint, keys)."""
     for batch in batches:
         data, off = c.text_buffers(batch.column(1))
         for i, j, part, poff in c.chunks(data, off):
-            cls, s, keys = sketches(*shingles(part, poff), j - i)
+            cls, prints, keys = sketches(*shingles(part, poff), j - i)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * BANDS), pa.array(c.signed(keys).ravel()))
-            made = [pa.array(c.signed(x)) for x in (cls, s[:, 0].copy(), s[:, 1].copy())]
-            yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(2)[i:j], *made, lists], names=["id", "tid", "cls", "s1", "s2", "keys"])
+            made = [pa.array(c.signed(np.ascontiguousarray(x))) for x in (cls, *prints.T)]
+            yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(2)[i:j], *made, lists], names=["id", "tid", "cls", *PRINT, "keys"])
 
 
 def _sets(batches):
@@ -104,53 +122,99 @@ def _sets(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c.signed(cls)), pa.ListArray.from_arrays(pa.array(ends), pa.array(c.signed(h)))], names=["cls", "set"])
 
 
-def bucket_pairs(cls: np.ndarray, s: np.ndarray, root: np.ndarray | None):
-    """Candidates of one bucket in sketch order: without roots all of a small one or the neighbours, else all of different roots."""
-    n = len(cls)
-    for step in range(1, n if root is not None or n <= SMALL else NEXT + 1):
-        ok = np.bitwise_count(s[step:] ^ s[:-step]).sum(axis=1) <= APART
-        if root is not None:
-            ok &= root[step:] != root[:-step]
-        at = np.flatnonzero(ok)
-        if len(at):
-            yield cls[at], cls[at + step]
+def star(prints: np.ndarray) -> tuple[int, np.ndarray]:
+    """(the place nearest to the majority of bits, the others within BUDGET of it)."""
+    bits = np.unpackbits(prints.view(np.uint8), axis=1)
+    middle = np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(prints)).view(np.uint64)
+    centre = int(np.bitwise_count(prints ^ middle).sum(axis=1).argmin())
+    near = np.bitwise_count(prints ^ prints[centre]).sum(axis=1) <= BUDGET
+    near[centre] = False
+    return centre, np.flatnonzero(near)
 
 
-def _meet(rooted: bool):
-    """Rows sorted by key: (a, b) of each bucket."""
+def _grouped(work):
+    """Rows sorted by (key, block): ``work`` on the rows of each pair of both."""
 
     def run(batches):
         held = None
 
-        def out(rows):
-            key, cls, s1, s2, root = rows
-            new = np.append(np.flatnonzero(c.first_of_runs(key)), len(key))
-            found = []
-            for lo, hi in zip(new[:-1].tolist(), new[1:].tolist()):
-                if hi - lo < 2:
-                    continue
-                order = lo + np.lexsort((s2[lo:hi], s1[lo:hi]))
-                s = np.stack([s1[order], s2[order]], axis=1).view(np.uint64)
-                found += bucket_pairs(cls[order], s, root[order] if rooted else None)
-            if found:
-                a, b = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        def done(table):
+            cuts = np.append(np.flatnonzero(c.first_of_runs(table.column("key").to_numpy(), table.column("block").to_numpy())), len(table))
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if b - a > 1:
+                    yield from work(table.slice(a, b - a))
 
         for batch in batches:
-            rows = [x.to_numpy() for x in batch.columns]
-            held = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
-            if not len(held[0]):
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if not len(held):
                 continue
-            cut = int(np.searchsorted(held[0], held[0][-1]))  # the last bucket may go on
+            key, block = held.column("key").to_numpy(), held.column("block").to_numpy()
+            cut = int(np.flatnonzero(c.first_of_runs(key, block))[-1])  # the last group may go on
             if cut:
-                yield from out([x[:cut] for x in held])
-            held = [x[cut:] for x in held]
-        if held is not None and len(held[0]):
-            yield from out(held)
+                yield from _joined(done(held.slice(0, cut)))
+                held = held.slice(cut)
+        if held is not None and len(held):
+            yield from _joined(done(held))
 
     return run
 
 
+def _joined(links):
+    """Links of many groups in few batches."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for a, b in links:
+        held.append((a, b))
+        if len(held) >= 4096:
+            yield _batch(held)
+            held = []
+    if held:
+        yield _batch(held)
+
+
+def _batch(held):
+    a, b = (np.concatenate(x) for x in zip(*held))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _prints_of(rows: pa.Table) -> np.ndarray:
+    return np.stack([rows.column(x).to_numpy().view(np.uint64) for x in PRINT], axis=1)
+
+
+def _stars(rows: pa.Table):
+    cls = rows.column("cls").to_numpy()
+    centre, near = star(_prints_of(rows))
+    if len(near):
+        yield np.full(len(near), cls[centre]), cls[near]
+
+
+def _walks(rows: pa.Table):
+    """Links between components of one tile, each checked on the shingle sets."""
+    cls, sides = rows.column("cls").to_numpy(), rows.column("side").to_numpy()
+    number = {root: k for k, root in enumerate(dict.fromkeys(rows.column("root").to_pylist()))}
+    root = np.array([number[x] for x in rows.column("root").to_pylist()])
+    if len(number) < 2:
+        return
+    forest, sets, found = Forest(len(number)), {}, []
+    column = rows.column("set").combine_chunks()
+
+    def shingles_of(k: int) -> frozenset:
+        if k not in sets:
+            sets[k] = frozenset(column[k].as_py())
+        return sets[k]
+
+    for x, y in trie_pairs(_prints_of(rows), BUDGET, root):
+        for a, b in zip(x.tolist(), y.tolist()):
+            if forest.find(root[a]) == forest.find(root[b]) or sides[a] == sides[b] != -1:
+                continue
+            one, two = shingles_of(a), shingles_of(b)
+            both = len(one & two)
+            if both >= ALIKE * (len(one) + len(two) - both):
+                forest.join(root[a], root[b])
+                found.append((cls[a], cls[b]))
+    if found:
+        yield tuple(np.array(x) for x in zip(*found))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, tid, component, stays): one row per row of ``docs``.
 
@@ -163,31 +227,34 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     prints = ws.save(slim.mapInArrow(_prints, f"id long, tid long, {_KEYED}"), "prints")
     own = F.struct(F.col("id").isNull().alias("unnamed"), F.col("id"), F.col("tid"))
     classes = ws.save(prints.groupBy("cls").agg(F.min("id").alias("least"), F.min(own).alias("first"), F.min("tid").alias("of")), "classes")
-    once = prints.where("cls <> 0").dropDuplicates(["cls"]).select("cls", "s1", "s2", F.explode("keys").alias("key"))
-    keyed = ws.save(once.select("key", "cls", "s1", "s2"), "keyed")
-
-    def meet(rows: DataFrame, rooted: bool, name: str) -> DataFrame:
-        columns = ["key", "cls", "s1", "s2", F.col("root") if rooted else F.col("cls").alias("root")]
-        dealt = rows.select(*columns).repartition("key").sortWithinPartitions("key")
-        return ws.save(dealt.mapInArrow(_meet(rooted), "a long, b long").distinct(), name)
+    keyed = prints.where("cls <> 0").dropDuplicates(["cls"]).select("cls", *PRINT, F.explode("keys").alias("key"))
+    many = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    met = ws.save(keyed.join(many, "key").withColumn("blocks", F.ceil(F.col("many") / BLOCK).cast("int")).withColumn("block", F.pmod(F.col("cls"), F.col("blocks")).cast("int")), "met")
+    ws.tidy()
 
-    def checked(pairs: DataFrame, name: str) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    def sets_of(ends: DataFrame, name: str) -> DataFrame:
         tids = classes.join(ends, "cls", "left_semi").select(F.col("of").alias("tid"))
         texts = slim.select("tid", "body").join(tids, "tid", "left_semi").dropDuplicates(["tid"]).select("body")
-        sets = ws.save(texts.mapInArrow(_sets, "cls long, set array<long>"), f"{name}-sets")
-        side = lambda end: sets.select(F.col("cls").alias(end), F.col("set").alias(f"set_{end}"))
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
-        both = both.select("a", "b", F.size("set_a").alias("n"), F.size("set_b").alias("m"), F.size(F.array_intersect("set_a", "set_b")).alias("i"))
-        return ws.save(both.where(F.col("i") >= ALIKE * (F.col("n") + F.col("m") - F.col("i"))).select("a", "b"), name)
+        return ws.save(texts.mapInArrow(_sets, "cls long, set array<long>"), name)
 
-    links = checked(meet(keyed, False, "pairs"), "links")
+    stars = ws.save(met.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(_grouped(_stars), "a long, b long").distinct(), "stars")
+    sets = sets_of(stars.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "star-sets")
+    side = lambda end: sets.select(F.col("cls").alias(end), F.col("set").alias(f"set_{end}"))
+    both = stars.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.size("set_a").alias("n"), F.size("set_b").alias("m"), F.size(F.array_intersect("set_a", "set_b")).alias("i"))
+    links = ws.save(both.where(F.col("i") >= ALIKE * (F.col("n") + F.col("m") - F.col("i"))).select("a", "b"), "links")
     roots = components(links, ws).withColumnRenamed("id", "cls")
-    large = ws.save(keyed.groupBy("key").count().where(f"count > {SMALL}").select("key"), "large")
-    if large.limit(1).count():
-        again = keyed.join(large, "key", "left_semi").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-        more = checked(meet(again, True, "pairs-2"), "links-2")
-        roots = components(links.unionByName(more), ws, "cc2").withColumnRenamed("id", "cls")
+
+    rooted = ws.save(met.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")), "rooted")
+    several = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
+    rooted = rooted.join(several, "key", "left_semi")
+    # a tile holds two blocks (i, j); the pairs within a block belong to the tile (i, i)
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    tiles = rooted.withColumn("other", other).withColumn("side", F.when(F.col("block") == F.col("other"), -1).otherwise(F.col("block")))
+    tiles = tiles.withColumn("block", F.least("block", "other") * F.col("blocks") + F.greatest("block", "other"))
+    tiles = tiles.select("key", "block", "side", "cls", "root", *PRINT)
+    walked = tiles.join(sets_of(rooted.select("cls").distinct(), "walk-sets"), "cls").repartition("key", "block").sortWithinPartitions("key", "block")
+    more = ws.save(walked.mapInArrow(_grouped(_walks), "a long, b long").distinct(), "walks")
+    roots = components(links.unionByName(more), ws, "cc2").withColumnRenamed("id", "cls")
     ws.tidy()
     labelled = classes.join(roots, "cls", "left").select("cls", "least", "first", F.coalesce("root", "cls").alias("root"))
     stands = labelled.groupBy("root").agg(F.min("least").alias("component"), F.min("first").alias("stands"))

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from . import common as c
 from .components import components
 from .near_copies import near_groups
+from .trie import trie_join
 
 BUDGET = 2
 _MASKS = [
@@ -87,79 +88,6 @@ def _bucket_keys(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c.signed(np.concatenate(keys))), pa.array(np.tile(c.signed(fps), len(_MASKS)))], names=["key", "fp"])
 
 
-class Forest:
-    """Union-find over a bucket's positions."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def find(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.find(x), self.find(y)
-        self.up[max(x, y)] = min(x, y)
-        return x != y
-
-
-def trie_join(values: list[int], budget: int = BUDGET, top: int = 64) -> list[tuple[int, int]]:
-    """Spanning links among sorted distinct ``values`` within ``budget`` differing bits.
-
-    A trie node is a range of the sorted array with its common bits; children
-    part at the next bit that differs within the range.  Pairs of nodes are
-    walked together with the bits they already differ in.
-    """
-    forest, links = Forest(len(values)), []
-
-    def split(lo: int, hi: int) -> tuple[int, int]:
-        """(bit below which the range's values may differ, where the upper half begins)."""
-        bit = (values[lo] ^ values[hi - 1]).bit_length()
-        if not bit:
-            return 0, hi
-        pivot = (values[hi - 1] >> (bit - 1)) << (bit - 1)
-        a, b = lo, hi
-        while a < b:
-            m = (a + b) // 2
-            if values[m] < pivot:
-                a = m + 1
-            else:
-                b = m
-        return bit, a
-
-    def same(lo: int, hi: int) -> None:
-        stack = [(lo, hi)]
-        while stack:
-            lo, hi = stack.pop()
-            if hi - lo < 2:
-                continue
-            _, mid = split(lo, hi)
-            pair(lo, mid, mid, hi)
-            stack += [(lo, mid), (mid, hi)]
-
-    def pair(a: int, b: int, x: int, y: int) -> None:
-        stack = [(a, b, x, y)]
-        while stack:
-            a, b, x, y = stack.pop()
-            bit_l, mid_l = split(a, b)
-            bit_r, mid_r = split(x, y)
-            bit = max(bit_l, bit_r)
-            if ((values[a] ^ values[x]) >> bit).bit_count() > budget:
-                continue
-            if not bit:
-                if forest.join(a, x):
-                    links.append((values[a], values[x]))
-            elif bit_l >= bit_r:
-                stack += [(a, mid_l, x, y), (mid_l, b, x, y)]
-            else:
-                stack += [(a, b, x, mid_r), (a, b, mid_r, y)]
-
-    same(0, len(values))
-    return links
-
-
 def _buckets(batches):
     """Rows sorted by (key, fp): links of each bucket of two or more."""
     key_held, fp_held = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -172,7 +100,7 @@ def _buckets(batches):
         found = []
         for at, n in zip(new[size > 1].tolist(), size[size > 1].tolist()):
             values = np.sort(fps[at : at + n].view(np.uint64)).tolist()
-            found += trie_join(values)
+            found += trie_join(values, BUDGET)
         if not found:
             return None
         pairs = np.array(found, np.uint64).view(np.int64)

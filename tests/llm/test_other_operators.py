@@ -242,6 +242,7 @@ def test_nearest_of_few(spark):
 def test_pipeline_stages(spark):
     import brute
     import corpus_pipeline
+    from test_near_copies import standing
     from tokenizers import Tokenizer
 
     from sparloom.llm import packing
@@ -253,7 +254,7 @@ def test_pipeline_stages(spark):
         tables.append(spark.createDataFrame(stage(spark, tables[-1], sf).collect(), docs.schema))
     rows = [[tuple(r) for r in t.collect()] for t in tables]
     assert all(t.columns == docs.columns for t in tables)
-    assert set(rows[1]) <= set(rows[0]) and set(rows[2]) == {r for r, (_, least) in zip(rows[1], brute.simhash(rows[1])) if r[0] == least}
+    assert set(rows[1]) <= set(rows[0]) and {r[0] for r in rows[2]} == standing(rows[1]) and set(rows[2]) <= set(rows[1])
     cut = {r[0]: x for r, x in zip(rows[2], brute.windows_before(rows[2]))}
     assert len(rows[3]) == len(rows[2]) and all(brute.sha(" ".join(brute.SPACE_WORD.findall(r[1]))) == cut[r[0]][2] and r[4] == len(r[1]) for r in rows[3])
     items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
