@@ -15,6 +15,7 @@ result.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -29,9 +30,11 @@ CHUNK_BYTES = 1 << 20
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; set to an own one only where unset."""
+    """The shared folder of the session; where it is unset, an own one in local mode only."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = f"/tmp/checkpoints/sparloom-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

@@ -1,15 +1,16 @@
 """License scan: winnowed fingerprints, an inverted index, banded alignment.
 
 Templates and documents keep, of every 3 consecutive 3-word grams, the rightmost
-least hash; any 5 words that both share leave a common fingerprint.  The inverted
-index of the templates (a parameter of the call, so of known size) goes to every
+least hash; any 5 words that both share leave a common fingerprint (templates of
+under 10 words keep all their grams).  The inverted index of the templates (a parameter of the call, so of known size) goes to every
 task; a document's fingerprints pick (template, diagonal) candidates, and a
 banded local alignment of words (match 2, mismatch or gap -1) around the
 diagonal reports which template words matched and where.
 
 Aligned passages of one template that follow each other in document and template
-order are chained (an overlap of up to ``BAND`` matched words counts once), so a
-template broken by insertions of any length is one row.  One row per chain:
+order are chained, so a template broken by insertions of any length is one row;
+template words that two of them match (any number where the passages overlap in the
+document, as those of neighbouring diagonals do, else up to ``BAND``) count once.  One row per chain:
 document, template, word span [first_word, last_word), matched and template words,
 coverage = matched / template words, and the spans of its passages.  Chains that
 cover at least ``LEAST`` of a template are reported.  No shuffle is needed.
@@ -43,8 +44,8 @@ def _words(data, off):
     return low.tobytes(), starts, ends, first, c.Prefix(c.LUT_A[low]).hash(starts, ends)
 
 
-def _fingerprints(wh, first):
-    """(positions, hashes) that winnowing keeps; rows of one window or less keep all their grams."""
+def _fingerprints(wh, first, whole_under: int = GRAM + WINDOW - 1):
+    """(positions, hashes) that winnowing keeps; rows of fewer words than ``whole_under`` keep all their grams."""
     h = c.kgrams(wh, GRAM)
     row = c.rows_of(first)
     n = len(h)
@@ -53,7 +54,7 @@ def _fingerprints(wh, first):
     reach = GRAM + WINDOW - 1
     ok = row[: len(pick)] == row[reach - 1 : reach - 1 + len(pick)]
     at = pick[ok]
-    short = np.flatnonzero(whole & (np.diff(first)[row[:n]] < reach)) if n else at
+    short = np.flatnonzero(whole & (np.diff(first)[row[:n]] < whole_under)) if n else at
     at = np.unique(np.concatenate([at, short]))
     return at, h[at]
 
@@ -67,13 +68,11 @@ class Index:
         data, off = c.text_buffers(texts)
         text, starts, ends, first, wh = _words(data, off)
         self.words = [c.strings(text, starts[a:b], ends[a:b]) for a, b in zip(first[:-1], first[1:])]
-        # templates keep every gram: documents choose, so whatever they keep is found
-        h = c.kgrams(wh, GRAM)
+        at, h = _fingerprints(wh, first, 2 * (GRAM + WINDOW - 1))
         row = c.rows_of(first)
-        at = np.flatnonzero(row[: len(h)] == row[GRAM - 1 : GRAM - 1 + len(h)])
-        order = np.argsort(h[at], kind="stable")
+        order = np.argsort(h, kind="stable")
         at = at[order]
-        self.hashes, self.template, self.place = h[at], row[at], at - first[row[at]]
+        self.hashes, self.template, self.place = h[order], row[at], at - first[row[at]]
 
     def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(which of h, which entry) pairs."""
@@ -141,7 +140,7 @@ def best_chain(parts: list[tuple[list[tuple[int, int]], int, int]]) -> tuple[int
             if a >= first or b >= last or before[0][0] >= pairs[0][0] or before[-1][0] >= pairs[-1][0]:
                 continue
             gain = sum(i > before[-1][0] and j >= b for i, j in pairs)
-            if gain and len(pairs) - gain <= BAND and total[p] + gain > score:
+            if gain and (first < b or len(pairs) - gain <= BAND) and total[p] + gain > score:
                 score, at = total[p] + gain, p
         total.append(score)
         back.append(at)

@@ -226,15 +226,16 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     slim = docs.select(F.col(id_col).cast("long").alias("id"), body.alias("body"), F.xxhash64(body).alias("tid"))
     prints = ws.save(slim.mapInArrow(_prints, f"id long, tid long, {_KEYED}"), "prints")
     own = F.struct(F.col("id").isNull().alias("unnamed"), F.col("id"), F.col("tid"))
-    classes = ws.save(prints.groupBy("cls").agg(F.min("id").alias("least"), F.min(own).alias("first"), F.min("tid").alias("of")), "classes")
+    classes = ws.save(prints.groupBy("cls").agg(F.min("id").alias("least"), F.min(own).alias("first"), F.min(F.struct(c.id_key(F.col("id")).alias("key"), "tid")).alias("of")), "classes")
     keyed = prints.where("cls <> 0").dropDuplicates(["cls"]).select("cls", *PRINT, F.explode("keys").alias("key"))
     many = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
     met = ws.save(keyed.join(many, "key").withColumn("blocks", F.ceil(F.col("many") / BLOCK).cast("int")).withColumn("block", F.pmod(F.col("cls"), F.col("blocks")).cast("int")), "met")
     ws.tidy()
 
     def sets_of(ends: DataFrame, name: str) -> DataFrame:
-        tids = classes.join(ends, "cls", "left_semi").select(F.col("of").alias("tid"))
-        texts = slim.select("tid", "body").join(tids, "tid", "left_semi").dropDuplicates(["tid"]).select("body")
+        # one document of each class, so the copies of a text stay where they are
+        owners = classes.join(ends, "cls", "left_semi").select("of.key", "of.tid")
+        texts = slim.select(c.id_key(F.col("id")).alias("key"), "tid", "body").join(owners, ["key", "tid"], "left_semi").dropDuplicates(["key", "tid"]).select("body")
         return ws.save(texts.mapInArrow(_sets, "cls long, set array<long>"), name)
 
     stars = ws.save(met.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(_grouped(_stars), "a long, b long").distinct(), "stars")
@@ -259,4 +260,5 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     labelled = classes.join(roots, "cls", "left").select("cls", "least", "first", F.coalesce("root", "cls").alias("root"))
     stands = labelled.groupBy("root").agg(F.min("least").alias("component"), F.min("first").alias("stands"))
     named = ws.save(labelled.select("cls", "root").join(stands, "root").select("cls", "component", "stands"), "named")
+    ws.drop("classes", "met", "stars", "star-sets", "links", "rooted", "walk-sets", "walks")
     return prints.select("id", "tid", "cls").join(named, "cls").select("id", "tid", "component", (own == F.col("stands")).alias("stays"))

@@ -338,6 +338,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", v
     more = search(rest.mapInArrow(_siblings(shared, cells, enough), kind))
     found = best(first.select("query", "vec_id", "score").unionByName(more).distinct())
     lists = ws.save(found.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("score", "vec_id"))).alias("near")).join(queries.select(F.col("id").alias("query"), "vector"), "query").select("vector", "near"), "lists")
+    ws.drop("index", "queries", "own")
     own = asking.join(lists, "vector").select(F.col("id").alias("query_id"), F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("id")), 1, k).alias("near"))
     return own.select("query_id", F.posexplode("near").alias("at", "x")).select("query_id", (F.col("at") + 1).alias("rank"), "x.vec_id", "x.score")
 

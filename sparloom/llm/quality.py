@@ -189,7 +189,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     chosen = usable.select(F.col(id_col).alias("id"), (F.col(label_col) > 0).cast("int").alias("label"))
     chosen = chosen.orderBy(F.xxhash64(F.col("id").cast("string")), "id", "label").limit(sample)
-    rows = _slim(docs, id_col, text_col, chars_col).join(F.broadcast(chosen), "id")  # at most ``sample`` rows
+    rows = _slim(docs, id_col, text_col, chars_col).join(F.broadcast(chosen), "id")  # at most ``sample`` rows are broadcast
+    # rows that share a sampled id count once (least hash of text), so at most ``sample`` texts are learned from
+    rows = rows.groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("body").alias("h"), "body", "stored")).alias("x")).select("id", "x.body", "x.stored", "label")
     kind = rows.schema["id"].dataType.simpleString()
     found = rows.mapInArrow(_to_learn, f"id {kind}, label int, buckets array<smallint>, stats array<double>").toPandas()
     found = found.assign(size=found["buckets"].map(len)).sort_values(["id", "size", "label"])

@@ -124,3 +124,42 @@ def pieces(rows, tokenizer, length=2048):
             part = ids[k : k + length]
             out.append((i, k // length, k, len(part), zlib.crc32(np.array(part, "<u4").tobytes())))
     return out
+
+
+def local_alignment(template, words, match=2, miss=-1):
+    """Matched words of the best local alignment, the whole table filled."""
+    best, matched = 0, 0
+    before = [(0, 0)] * (len(words) + 1)
+    for t in template:
+        row = [(0, 0)]
+        for j, w in enumerate(words, 1):
+            s, m = before[j - 1]
+            step = (s + match, m + 1) if t == w else (s + miss, m)
+            step = max(step, (before[j][0] + miss, before[j][1]), (row[j - 1][0] + miss, row[j - 1][1]), key=lambda x: x[0])
+            row.append(step if step[0] > 0 else (0, 0))
+            if row[j][0] > best:
+                best, matched = row[j]
+        before = row
+    return matched
+
+
+def shared_run(a, b):
+    """Most consecutive words that both hold."""
+    best, before = 0, [0] * (len(b) + 1)
+    for x in a:
+        row = [0]
+        for j, y in enumerate(b, 1):
+            row.append(before[j - 1] + 1 if x == y else 0)
+        best, before = max(best, *row), row
+    return best
+
+
+def in_order(a, b):
+    """Most words of both in the same order."""
+    before = [0] * (len(b) + 1)
+    for x in a:
+        row = [0]
+        for j, y in enumerate(b, 1):
+            row.append(before[j - 1] + 1 if x == y else max(before[j], row[j - 1]))
+        before = row
+    return before[-1]
