@@ -240,16 +240,20 @@ class Codec:
 
     # --- whole payloads ---
 
-    def compress(self, value: Any, tables: bool = True, aliases: bool = True, embedded: bool = False) -> str:
-        """The tiers' text, or the compact text where they are not strictly cheaper."""
+    def tiers(self, value: Any, tables: bool = True, aliases: bool = True, embedded: bool = False) -> tuple[str, str, str]:
+        """(compact text, text of the folded value, text of the cheapest tier) in one pass."""
         plain = minify(value)
         folded = self.fold(value, tables, embedded) if tables or embedded else value
-        best = minify(folded)
+        table = best = minify(folded)
         if aliases:
             data, legend = self.alias(folded)
             coded = minify({self.dict: 1, "legend": legend, "data": data}) if legend else best
             best = coded if self.count(coded) < self.count(best) else best
-        return best if self.count(best) < self.count(plain) else plain
+        return plain, table, best if self.count(best) < self.count(plain) else plain
+
+    def compress(self, value: Any, tables: bool = True, aliases: bool = True, embedded: bool = False) -> str:
+        """The tiers' text, or the compact text where they are not strictly cheaper."""
+        return self.tiers(value, tables, aliases, embedded)[2]
 
     def tabular(self, value: Any) -> str:
         """Tables only, even where they cost more: for measurement."""
@@ -261,10 +265,17 @@ class Codec:
             value = self.expand(value["data"], value["legend"])
         return self.unfold(value)
 
+    def gives(self, text: str, value: Any) -> bool:
+        """Does the text give the value back?"""
+        try:
+            return equal(self.decompress(text), value)
+        except (ValueError, KeyError, TypeError, RecursionError):
+            return False
+
     def exact(self, value: Any, **tiers: bool) -> bool:
         """Does the payload come back?"""
         try:
-            return equal(self.decompress(self.compress(value, **tiers)), value)
+            return self.gives(self.compress(value, **tiers), value)
         except (ValueError, KeyError, TypeError, RecursionError):
             return False
 
@@ -309,10 +320,12 @@ class Codec:
             counts = dict.fromkeys(("raw", "minified", "tabular", "compressed", "embedded"), base)
             gate = inner = True
         else:
-            texts = {"minified": minify(value), "tabular": self.tabular(value), "compressed": self.compress(value), "embedded": self.compress(value, embedded=True)}
-            counts = {"raw": base} | {k: self.count(t) for k, t in texts.items()}
-            gate = self.exact(value)
-            inner = gate and self.exact(value, embedded=True)
+            plain, table, best = self.tiers(value)
+            # the embedded tier differs only where some string holds JSON
+            *_, deeper = (plain, table, best) if self.fold(value, False, True) == value else self.tiers(value, embedded=True)
+            counts = {"raw": base} | {k: self.count(t) for k, t in zip(("minified", "tabular", "compressed", "embedded"), (plain, table, best, deeper))}
+            gate = self.gives(best, value)
+            inner = gate and (deeper == best or self.gives(deeper, value))
         steps = [("minify", "raw", "minified"), ("tabularize", "minified", "tabular"), ("dictionary", "tabular", "compressed"), ("embedded", "compressed", "embedded")]
         saved = {name: counts[a] - counts[b] if gate and (inner or name != "embedded") else 0 for name, a, b in steps}
         total = base - counts["embedded" if inner else "compressed"] if gate else 0

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructType
 
 from ..functions.schemas import flat
-from ..kernel import delta, lossy, questions
+from ..kernel import delta, lossy, questions, replies
 from ..kernel.codec import Codec, find_records, shape_of
 from ..kernel.forms import minify, parse
 
@@ -220,7 +220,7 @@ class Questions:
 
 
 def score(qtype: Column, expected: Column, reply: Column) -> Column:
-    return _flag(lambda q, e, r: r is not None and questions.score(q, json.loads(e), r))(qtype, expected, reply)
+    return _flag(lambda q, e, r: r is not None and replies.score(q, json.loads(e), r))(qtype, expected, reply)
 
 
 def ask(rows: DataFrame, answer, arms: tuple[str, ...], failed_is_miss: bool = False) -> DataFrame:
@@ -235,9 +235,9 @@ def ask(rows: DataFrame, answer, arms: tuple[str, ...], failed_is_miss: bool = F
     def run(batches):
         for pdf in batches:
             for arm in arms:
-                replies = [answer(arm, p, raw) for p, raw in zip(pdf["prompt"], pdf[arm])]
-                pdf[f"{arm}_trials"] = [int(failed_is_miss or r is not None) for r in replies]
-                pdf[f"{arm}_ok"] = [int(r is not None and questions.score(q, json.loads(e), r)) for q, e, r in zip(pdf["qtype"], pdf["expected"], replies)]
+                given = [answer(arm, p, raw) for p, raw in zip(pdf["prompt"], pdf[arm])]
+                pdf[f"{arm}_trials"] = [int(failed_is_miss or r is not None) for r in given]
+                pdf[f"{arm}_ok"] = [int(r is not None and replies.score(q, json.loads(e), r)) for q, e, r in zip(pdf["qtype"], pdf["expected"], given)]
             yield pdf
 
     return rows.mapInPandas(run, f"{schema.replace(':', ' ')}, {more}")
@@ -280,8 +280,8 @@ def score_pack(pack: DataFrame, responses: DataFrame) -> DataFrame:
     """
     kind = flat("ok int, trials int")
 
-    def count(qtype, expected, replies):
-        return questions.score_form(qtype, json.loads(expected), list(replies) if replies is not None else [])
+    def count(qtype, expected, given):
+        return replies.score_form(qtype, json.loads(expected), list(given) if given is not None else [])
 
     met = responses.join(pack.select("tool", "sha", "qid", "qtype", "transform", "expected"), ["sha", "qid"])
     scored = met.withColumn("s", _struct(count, kind)(F.col("qtype"), F.col("expected"), F.col("replies")))
@@ -289,11 +289,11 @@ def score_pack(pack: DataFrame, responses: DataFrame) -> DataFrame:
 
 
 def text_ceiling(raw: Column) -> Column:
-    """(raw, line, phrase, block): tokens plain and with the aliases of each mode."""
+    """(raw, line, phrase, block): tokens plain and with the aliases of each mode; how often each bound was met."""
     from ..kernel.textalias import ceiling
 
-    kind = flat("raw long, line long, phrase long, block long")
-    return _struct(lambda x: (None,) * 4 if x is None else ceiling(x), kind)(raw)
+    kind = flat("raw long, line long, phrase long, block long, candidates_bound long, aliases_bound long, no_free_sigil long")
+    return _struct(lambda x: dict.fromkeys(kind.names) if x is None else ceiling(x), kind)(raw)
 
 
 def ask_dropped(rows: DataFrame, answer, fields: dict[str, dict], codec: Codec | None = None) -> DataFrame:

@@ -13,7 +13,8 @@ def test_matches_duckdb(spark, sf, name):
 
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE_SQL)))
 def test_gives_rows(spark, sf, name):
-    assert catalog.QUERIES[name](spark, sf).count() > 0
+    rows = catalog.QUERIES[name](spark, sf).collect()  # a count would let Spark drop the columns, and the work
+    assert rows and any(x is not None for x in rows[0])
 
 
 def test_oracles_belong_to_queries():
