@@ -74,3 +74,14 @@ def group_by_pause(payloads: DataFrame) -> DataFrame:
 def group_by_result(payloads: DataFrame) -> DataFrame:
     """Blocks of one result by its recorded id."""
     return payloads.where("result_id is not null").groupBy("tool", "result_id").agg(F.array_sort(F.collect_list(F.struct("captured_at", "raw"))).alias("blocks"))
+
+
+def identities(payloads: DataFrame) -> DataFrame:
+    """(name, tool, server): every tool under its qualified name, after attribution."""
+    rows = attribution(payloads).select("tool", "server").distinct()
+    return rows.select(F.concat_ws(".", "server", "tool").alias("name"), "tool", "server")
+
+
+def heuristic_share(payloads: DataFrame) -> DataFrame:
+    """Payloads that are grouped by their times, because they have no result id, among all."""
+    return payloads.agg(F.count_if(F.col("result_id").isNull() & F.col("captured_at").isNotNull()).alias("guessed"), F.count(F.lit(1)).alias("payloads"))

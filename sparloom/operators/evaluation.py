@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values
-TOLERANCE, SLACK, CODEC_TRIALS, CI = 0.05, 1e-9, 20, 1.96
+TOLERANCE, SLACK, CODEC_TRIALS, CI, FAIL_SHARE = 0.05, 1e-9, 20, 1.96, 0.2
 
 
 def checked(ok: Column, trials: Column) -> Column:
@@ -79,4 +79,53 @@ def ab_signal(arms: DataFrame) -> DataFrame:
 def unmeasured(rows: DataFrame, *keys: str) -> DataFrame:
     """Arms that lost over a fifth of their calls, or have no trials at all."""
     out = rows.groupBy(*keys).agg(F.sum("fails").alias("fails"), F.sum("attempts").alias("attempts"), F.sum("trials").alias("trials"))
-    return out.withColumn("unmeasured", (F.coalesce("trials", F.lit(0)) == 0) | (F.try_divide(F.col("fails"), F.col("attempts")) > 0.2))
+    return out.withColumn("unmeasured", (F.coalesce("trials", F.lit(0)) == 0) | (F.try_divide(F.col("fails"), F.col("attempts")) > FAIL_SHARE))
+
+
+def arm_gaps(rows: DataFrame, forms: list[str], control: str, *keys: str) -> DataFrame:
+    """The best of several forms against one control, over the rows that all of them completed, or why not.
+
+    Columns: ``<arm>_ok`` and ``<arm>_trials`` of each arm, trials, attempts, fails.  Excluded are
+    groups that lost over a fifth of their calls or a whole arm (unmeasured), and those whose
+    control never succeeds (broken control).  Rows without attempts have lost nothing.
+    """
+    arms = [*forms, control]
+    lost = rows.groupBy(*keys).agg(F.sum("attempts").alias("a"), F.sum("fails").alias("f"), *(F.sum(F.coalesce(f"{x}_trials", F.lit(0))).alias(f"t_{x}") for x in arms))
+    none = F.lit(False)
+    for x in arms:
+        none = none | (F.col(f"t_{x}") == 0)
+    lost = lost.select(*keys, F.coalesce((F.col("a") > 0) & (none | (F.col("f") / F.col("a") > FAIL_SHARE)), F.lit(False)).alias("unmeasured"))
+    whole = F.col("attempts").isNull()
+    complete = F.lit(True)
+    for x in arms:
+        complete = complete & (F.coalesce(f"{x}_trials", "trials") == F.col("trials"))
+    kept = rows.where(whole | complete)
+    made = lost
+    for x in arms:
+        own = kept.withColumn("trials", F.coalesce(f"{x}_trials", "trials"))
+        made = made.join(accuracy(own, f"{x}_ok", *keys).select(*keys, F.col("n").alias(f"n_{x}"), F.col("acc").alias(f"{x}_acc"), F.col("se").alias(f"{x}_se")), list(keys), "left")
+    best = F.sort_array(F.array(*(F.struct(F.coalesce(f"{x}_acc", F.lit(0.0)).alias("acc"), F.lit(-k).alias("order"), F.lit(x).alias("arm"), F.coalesce(f"{x}_se", F.lit(0.0)).alias("se")) for k, x in enumerate(forms))), asc=False)[0]
+    made = made.withColumn("best", best)
+    broken = F.coalesce(f"{control}_acc", F.lit(0.0)) == 0
+    excluded = F.when(F.col("unmeasured"), "unmeasured").when(broken, "broken control")
+    out = made.select(*keys, F.coalesce(f"n_{control}", F.lit(0)).alias("n"), F.col("best.arm").alias("arm"), F.col("best.acc").alias("form_acc"), F.col("best.se").alias("form_se"), F.col(f"{control}_acc").alias("control_acc"), F.col(f"{control}_se").alias("control_se"), excluded.alias("excluded"))
+    gap, ci = F.col("form_acc") - F.col("control_acc"), CI * F.sqrt(F.col("form_se") * F.col("form_se") + F.col("control_se") * F.col("control_se"))
+    return out.withColumns({"gap": F.when(F.col("excluded").isNull(), gap), "gap_ci": F.when(F.col("excluded").isNull(), ci)})
+
+
+def by_transform(rows: DataFrame, arms: list[str], *keys: str) -> DataFrame:
+    """Pooled accuracy of each arm on the questions about each transform."""
+    sums = [F.try_divide(F.sum(F.col(f"{x}_ok")) * 1.0, F.sum(F.coalesce(f"{x}_trials", "trials"))).alias(f"{x}_acc") for x in arms]
+    return rows.groupBy(*keys, "transform").agg(F.count(F.lit(1)).alias("questions"), *sums)
+
+
+def bench_totals(measured: DataFrame, column: str = "m") -> DataFrame:
+    """Weighted savings over payloads that came back whole; the others are counted and left out."""
+    m = lambda name: F.col(f"{column}.{name}")
+    lossless = m("roundtrip_ok") & m("embedded_ok")
+    total = lambda name: F.sum(F.when(lossless, m(name)))
+    pct = lambda a, b: F.try_divide((total(a) - total(b)) * 100.0, total(a))
+    return measured.agg(
+        F.count_if(lossless).alias("payloads"), F.count_if(~lossless).alias("dropped_lossy"), total("raw_tok").alias("raw"),
+        pct("raw_tok", "minified_tok").alias("minified_pct"), pct("raw_tok", "embedded_tok").alias("packed_pct"), pct("minified_tok", "embedded_tok").alias("packed_vs_minified_pct"),
+    )

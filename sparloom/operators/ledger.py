@@ -234,3 +234,29 @@ def trend(runs: DataFrame) -> DataFrame:
     """Change of saved_pct against the run just before; null beside a null."""
     before = F.lag("saved_pct").over(Window.partitionBy("label").orderBy("ts"))
     return runs.withColumn("delta_points", F.col("saved_pct") - before)
+
+
+# --------------------------------------------------------------------------
+# rows as writers make them
+
+
+def result_row(server: str, ts: Column, tool: Column, decision: Column, raw: Column, out: Column, version: Column, diff_reason: Column | None = None, tokens=P.token_count) -> Column:
+    """A ledger row of one result, as a struct; sizes only, no content."""
+    none = F.lit(None).cast("string")
+    return F.struct(
+        ts.alias("ts"), version.alias("version"), F.lit(server).alias("server"), tool.alias("tool"), decision.alias("decision"), (none if diff_reason is None else diff_reason).alias("diff_reason"),
+        F.length(raw).cast("long").alias("raw_chars"), F.length(out).cast("long").alias("out_chars"), tokens(raw).cast("long").alias("raw_tokens"), tokens(out).cast("long").alias("out_tokens"), none.alias("event"),
+    )
+
+
+def retrieve_row(server: str, ts: Column, tool: Column, path: Column, value: Column, tokens=P.token_count) -> Column:
+    """A row of one look-up of a dropped value; a null value is a miss."""
+    size = F.when(value.isNotNull(), F.octet_length(value)).otherwise(0).cast("long")
+    held = F.when(value.isNotNull(), tokens(value)).otherwise(0).cast("long")
+    return F.struct(ts.alias("ts"), F.lit(server).alias("server"), tool.alias("tool"), F.lit("retrieve").alias("event"), path.alias("path"), value.isNotNull().alias("hit"), size.alias("bytes"), held.alias("tokens"))
+
+
+def primer_row(server: str, ts: Column, text: Column, attached: Column, cadence: str = ONCE, tokens=P.token_count) -> Column:
+    """A row of one primer that went out, or was held back and so has no size."""
+    size = F.when(attached, F.octet_length(text)).otherwise(0).cast("long")
+    return F.struct(ts.alias("ts"), F.lit(server).alias("server"), F.lit("primer").alias("event"), F.lit(cadence).alias("cadence"), attached.alias("attached"), size.alias("bytes"), F.when(attached, tokens(text)).otherwise(0).cast("long").alias("tokens"))

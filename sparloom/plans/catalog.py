@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import payload_queries, relational
+from . import accounts, payload_queries, relational  # accounts registers its queries with relational
 
 QUERIES: dict = relational.QUERIES | payload_queries.QUERIES
 ORACLE_SQL: dict[str, str] = relational.ORACLE_SQL | payload_queries.ORACLE_SQL
