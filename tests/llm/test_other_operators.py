@@ -283,6 +283,24 @@ def test_stages_with_null_and_shared_ids(spark, sf):
         assert stage(spark, df.limit(0), sf).count() == 0
 
 
+def test_first_and_last_stage_on_awkward_rows(spark, sf):
+    import brute
+    from tokenizers import Tokenizer
+
+    from sparloom.llm import packing
+
+    rows = brute.awkward()
+    df = spark.createDataFrame(rows, brute.SCHEMA)
+    kept = [tuple(r) for r in quality.stage(spark, df, sf).collect()]
+    assert quality.stage(spark, df, sf).columns == df.columns and set(kept) <= set(rows) and all(kept.count(r) in (0, rows.count(r)) for r in rows)
+    more = quality.stage(spark, df.withColumns({"stored": F.lit("x"), "body": F.lit(1), "score": F.lit(0.0)}), sf)
+    assert more.count() == len(kept) and more.columns[-3:] == ["stored", "body", "score"]
+    assert quality.stage(spark, df.limit(0), sf).count() == 0
+    out = sorted((tuple(r)[:5] for r in packing.stage(spark, df.withColumn("piece", F.lit("x")), sf).collect()), key=repr)
+    assert out == sorted(brute.pieces(rows, Tokenizer.from_file(packing.default_tokenizer())), key=repr)
+    assert packing.stage(spark, df.limit(0), sf).count() == 0
+
+
 def test_registry():
     import __spark_entry__ as entry
 
