@@ -47,7 +47,7 @@ from .suffix_array import suffix_array
 LENGTH, GRAM, CELL = 400, 145, 16
 REACH = LENGTH - GRAM + 1
 SIDE = CELL - 1
-#: key, more: two hashes of what a group has in common; alt: of a row's whole content.
+#: key, more: two hashes of what a group has in common (of extents, which are no entries yet, only one); alt: of a row's whole content.
 FOUND = "key long, more long, alt long, kind int, many int, id long, tid long, lo int, hi int, at int, sides binary"
 REMOTE, LOCAL = 0, 1
 ROW = ["id", "tid", "lo", "hi"]
@@ -70,7 +70,7 @@ def _settle(key, more, alt, many, ids, tids, lo, hi, at, sides):
     cat = np.concatenate
     zero = np.zeros(len(own), np.int64)
     kind = np.repeat([REMOTE, LOCAL], [len(new), len(own)])
-    long = [cat([c.signed(x[new]), own]) for x in (key, more, alt)]
+    long = [cat([c.signed(x[new]), y]) for x, y in ((key, own), (more, zero), (alt, own))]
     places = [cat([x[new], y]) for x, y in ((ids, ids_l), (tids, tids_l), (lo, lo_l), (hi, hi_l), (at, zero))]
     small = [pa.array(x.astype(np.int32)) for x in (kind, cat([total, zero]))]
     said = pa.array([*(sides[k] for k in order[new].tolist()), *[b""] * len(own)] if sides is not None else [b""] * len(kind), pa.binary())
@@ -107,7 +107,7 @@ def _seed(batches):
             parts.append((grams[anchor], alt, ids_all[i:j][r], tids_all[i:j][r], lo - poff[r], hi - poff[r], anchor - poff[r]))
         if parts:
             key, alt, *places = (np.concatenate(x) for x in zip(*parts))
-            yield _settle(key, key, alt, np.ones(len(key), np.int64), *places, None)
+            yield _settle(key, np.zeros_like(key), alt, np.ones(len(key), np.int64), *places, None)
 
 
 def _cells(batches):
