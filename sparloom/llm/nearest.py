@@ -293,7 +293,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", v
     """(query_id, rank, vec_id, score): ``is_query`` is a condition on the column 'id'."""
     spark = vectors.sparkSession
     ws = c.Workspace(spark, "nearest")
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    # single precision travels as such; all reckoning is in double precision
+    kind_of = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind_of).alias("vector"))
     fine = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("id").isNotNull() & F.col("vector").isNotNull()).where(fine & F.exists("vector", lambda x: x != 0.0))
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()["vector"]
@@ -310,7 +312,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", v
     least = entries.withColumn("number", F.row_number().over(by_vector)).where(F.col("number") <= k + 1).groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     asked = asking.select("vector").distinct().withColumn("asks", F.lit(True))
     least = least.join(asked, "vector", "left").select(F.col("ids")[0].alias("id"), "ids", "vector", F.coalesce("asks", F.lit(False)).alias("asks"))
-    index = ws.save(least.mapInArrow(_strings(shared), "id long, ids array<long>, vector array<double>, asks boolean, strings array<long>"), "index")
+    index = ws.save(least.mapInArrow(_strings(shared), f"id long, ids array<long>, vector {kind_of}, asks boolean, strings array<long>"), "index")
 
     total = index.count()
     depth = int(min(max(forest.bits, np.ceil(np.log2(max(total / BLOCK, 1)))), 2 * forest.bits))
@@ -327,7 +329,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", v
     deep = levels.groupBy("query", "bits").agg(F.sum("many").alias("many")).where(F.col("many") >= enough).groupBy("query").agg(F.max("bits").alias("bits"))
     queries = ws.save(queries.join(deep.withColumnRenamed("query", "id"), "id", "left"), "queries")
 
-    kind = "part long, query long, string long, bits int, ids array<long>, vector array<double>"
+    kind = f"part long, query long, string long, bits int, ids array<long>, vector {kind_of}"
     whole = index.mapInArrow(_entries(shared, cells, True), kind)
     search = lambda looks: dealt(whole.unionByName(looks)).mapInArrow(_by_part(_nearest(k + 1, forest.levels)), FOUND).distinct()
     by_query = Window.partitionBy("query").orderBy("score", "vec_id")
