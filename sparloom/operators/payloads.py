@@ -274,16 +274,18 @@ def build_pack(payloads: DataFrame, codec: Codec | None = None) -> DataFrame:
 
 
 def score_pack(pack: DataFrame, responses: DataFrame) -> DataFrame:
-    """Responses (model, sha, qid, form, replies) against the pack's answers: right and trials per form.
+    """Responses (model, [tool,] sha, qid, form, replies) against the pack's answers: right and trials per form.
 
-    Replies to questions that the pack does not have go.
+    Replies to questions that the pack does not have go.  A response that names its tool meets
+    that tool's payload only: payloads of two tools may be equal, or share a short hash.
     """
     kind = flat("ok int, trials int")
 
     def count(qtype, expected, given):
         return replies.score_form(qtype, json.loads(expected), list(given) if given is not None else [])
 
-    met = responses.join(pack.select("tool", "sha", "qid", "qtype", "transform", "expected"), ["sha", "qid"])
+    keys = [c for c in ("tool", "sha", "qid") if c in responses.columns]
+    met = responses.join(pack.select("tool", "sha", "qid", "qtype", "transform", "expected"), keys)
     scored = met.withColumn("s", _struct(count, kind)(F.col("qtype"), F.col("expected"), F.col("replies")))
     return scored.select("model", "tool", "sha", "qid", "qtype", "transform", "form", "s.ok", "s.trials")
 
