@@ -127,8 +127,8 @@ def text_delta(prev: Column, curr: Column) -> Column:
     """(ops, back): chunk operations as JSON, and the text they give back."""
 
     def run(a, b):
-        ops = delta.text_encode(a or "", b or "") if b is not None else None
-        return (json.dumps(ops, ensure_ascii=False), delta.text_decode(a or "", ops)) if ops is not None else (None, None)
+        ops, back = delta.text_both(a or "", b or "") if b is not None else (None, None)
+        return (json.dumps(ops, ensure_ascii=False), back) if ops is not None else (None, None)
 
     return _struct(run, flat("ops string, back string"))(prev, curr)
 
