@@ -5,6 +5,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,26 +50,65 @@ def token_counts(payloads: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def token_idf(counts: DataFrame, payloads: Column | int) -> DataFrame:
-    """(token, df, idf = ln(N / df))."""
-    rows = counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    """(token, df, idf = ln(N / df)), of (id, token) rows or of (token, df)."""
+    rows = counts if "df" in counts.columns else counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     return rows.withColumn("idf", F.log(F.lit(payloads) / F.col("df")))
 
 
-def pair_overlap(pairs: DataFrame, counts: DataFrame, idf: DataFrame | None = None) -> DataFrame:
+def token_dfs(payloads: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(token, df), counted where the texts are, so no (id, token) rows are shuffled."""
+    tokens = _whole(payloads, id_col, text_col).select(F.explode(F.array_distinct(P.token_stream(F.col("text")))).alias("token"))
+    return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+
+
+def _whole(payloads: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text): all texts of an id as one (a line end parts tokens)."""
+    return payloads.groupBy(F.col(id_col).alias("id")).agg(F.array_join(F.collect_list(text_col), "\n").alias("text"))
+
+
+def pair_overlap(pairs: DataFrame, payloads: DataFrame, id_col: str, text_col: str, idf: DataFrame | None = None, unseen: Column | None = None) -> DataFrame:
     """Multiset overlap of (prev, curr) pairs of ids: tokens, shared, ratio[, content ratio].
 
-    Joined on (id, token) counts, so a pair costs its payloads' distinct tokens.
+    The two texts of a pair meet in one row and are compared there, so texts are shuffled and not their
+    tokens.  With ``idf`` (token, idf), the distinct tokens of ``curr`` go on, and meet their weights;
+    ``unseen`` is the weight of tokens that it leaves out.
     """
-    curr = pairs.join(counts.select(F.col("id").alias("curr"), "token", F.col("n").alias("cn")), "curr")
-    both = curr.join(counts.select(F.col("id").alias("prev"), "token", F.col("n").alias("pn")), ["prev", "token"], "left")
-    both = both.withColumn("shared", F.least("cn", F.coalesce("pn", F.lit(0))))
-    if idf is not None:
-        both = both.join(idf.select("token", "idf"), "token")
-    out = [F.sum("cn").alias("curr_tokens"), F.sum("shared").alias("shared_tokens")]
-    if idf is not None:
-        out += [F.sum(F.col("shared") * F.col("idf")).alias("shared_weight"), F.sum(F.col("cn") * F.col("idf")).alias("curr_weight")]
-    rows = both.groupBy("prev", "curr").agg(*out).withColumn("overlap_ratio", F.col("shared_tokens") / F.col("curr_tokens"))
-    return rows.withColumn("content_overlap_ratio", F.try_divide(F.col("shared_weight"), F.col("curr_weight"))) if idf is not None else rows
+    text = _whole(payloads, id_col, text_col)
+    both = pairs.join(text.select(F.col("id").alias("curr"), F.col("text").alias("ct")), "curr").join(text.select(F.col("id").alias("prev"), F.col("text").alias("pt")), "prev", "left")
+    if idf is None:
+        rows = both.select("prev", "curr", _met(P.token_stream(F.col("ct")), P.token_stream(F.col("pt"))).alias("m")).select("prev", "curr", "m.curr_tokens", "m.shared_tokens")
+        rows = rows.groupBy("prev", "curr").agg(F.sum("curr_tokens").alias("curr_tokens"), F.sum("shared_tokens").alias("shared_tokens"))
+        return rows.where("curr_tokens > 0").withColumn("overlap_ratio", F.col("shared_tokens") / F.col("curr_tokens"))
+    met = both.select("prev", "curr", F.explode(_met_each(P.token_stream(F.col("ct")), P.token_stream(F.col("pt")))).alias("m")).select("prev", "curr", "m.*")
+    met = met.join(idf.select("token", "idf"), "token", "inner" if unseen is None else "left")
+    met = met if unseen is None else met.withColumn("idf", F.coalesce("idf", unseen))
+    rows = met.groupBy("prev", "curr").agg(
+        F.sum("cn").alias("curr_tokens"), F.sum("shared").alias("shared_tokens"), F.sum(F.col("shared") * F.col("idf")).alias("shared_weight"), F.sum(F.col("cn") * F.col("idf")).alias("curr_weight"))
+    rows = rows.withColumn("overlap_ratio", F.col("shared_tokens") / F.col("curr_tokens"))
+    return rows.withColumn("content_overlap_ratio", F.try_divide(F.col("shared_weight"), F.col("curr_weight")))
+
+
+def _shared(curr, prev) -> list[tuple[str, int, int]]:
+    """(token, times in curr, of them met in prev)."""
+    held = Counter(prev) if prev is not None else Counter()
+    return [(token, n, min(n, held[token])) for token, n in Counter(curr).items()] if curr is not None else []
+
+
+def _met(curr: Column, prev: Column) -> Column:
+    @F.pandas_udf("curr_tokens long, shared_tokens long")
+    def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        found = [_shared(x, y) for x, y in zip(a, b)]
+        return pd.DataFrame({"curr_tokens": [sum(n for _, n, _ in f) for f in found], "shared_tokens": [sum(m for *_, m in f) for f in found]})
+
+    return run(curr, prev)
+
+
+def _met_each(curr: Column, prev: Column) -> Column:
+    @F.pandas_udf("array<struct<token:string,cn:long,shared:long>>")
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([[{"token": t, "cn": n, "shared": m} for t, n, m in _shared(x, y)] for x, y in zip(a, b)], dtype=object)
+
+    return run(curr, prev)
 
 
 def cross_server_redundancy(cells: DataFrame) -> DataFrame:

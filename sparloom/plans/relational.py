@@ -353,7 +353,7 @@ _STREAM = "regexp_extract_all(raw, '[A-Za-z]+|[0-9]+|[^A-Za-z0-9\\s]')"
 SELECT token, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({_STREAM}) AS token FROM payloads) GROUP BY 1""", ("payloads",))
 def token_idf(spark, sf_dir):
     rows = view(spark, sf_dir, "payloads")
-    return probes.token_idf(probes.token_counts(rows, "doc_id", "raw"), rows.count()).select("token", "df")
+    return probes.token_idf(probes.token_dfs(rows, "doc_id", "raw"), rows.count()).select("token", "df")
 
 
 _PAIRS = "p AS (SELECT lag(doc_id) OVER (PARTITION BY tool ORDER BY sha, doc_id) AS prev, doc_id AS curr FROM payloads)"
@@ -370,7 +370,7 @@ SELECT p.prev, p.curr, CAST(sum(a.n) AS BIGINT) AS curr_tokens, CAST(sum(least(a
 FROM p JOIN c a ON a.doc_id = p.curr LEFT JOIN c b ON b.doc_id = p.prev AND b.token = a.token WHERE p.prev IS NOT NULL GROUP BY 1, 2""", ("payloads",))
 def pair_overlap(spark, sf_dir):
     rows = view(spark, sf_dir, "payloads")
-    return probes.pair_overlap(_pairs(rows), probes.token_counts(rows, "doc_id", "raw"))
+    return probes.pair_overlap(_pairs(rows), rows, "doc_id", "raw")
 
 
 @query("pair_overlap_idf", f"""
@@ -380,8 +380,9 @@ SELECT p.prev, p.curr, CAST(round(sum(least(a.n, coalesce(b.n, 0)) * idf) * 1000
 FROM p JOIN c a ON a.doc_id = p.curr LEFT JOIN c b ON b.doc_id = p.prev AND b.token = a.token JOIN i ON i.token = a.token WHERE p.prev IS NOT NULL GROUP BY 1, 2""", ("payloads",))
 def pair_overlap_idf(spark, sf_dir):
     rows = view(spark, sf_dir, "payloads")
-    counts = probes.token_counts(rows, "doc_id", "raw")
-    out = probes.pair_overlap(_pairs(rows), counts, probes.token_idf(counts, rows.count()))
+    many = rows.count()
+    common = probes.token_idf(probes.token_dfs(rows, "doc_id", "raw"), many).where("df > 1")  # all others weigh ln N
+    out = probes.pair_overlap(_pairs(rows), rows, "doc_id", "raw", common, F.log(F.lit(many).cast("double")))
     milli = lambda c: F.round(F.col(c) * 1000).cast("long")
     return out.select("prev", "curr", milli("shared_weight").alias("shared_milli"), milli("curr_weight").alias("curr_milli"))
 
@@ -410,7 +411,8 @@ SELECT a, b, ratio AS upper_median FROM z WHERE n = m // 2 + 1""", ("payloads",)
 def cross_server_overlap(spark, sf_dir):
     rows = view(spark, sf_dir, "payloads").withColumn("id", F.col("doc_id"))
     pairs = probes.server_pairs(rows)
-    overlap = probes.pair_overlap(pairs.select("prev", "curr"), probes.token_counts(rows, "doc_id", "raw"))
+    chosen = pairs.select(F.explode(F.array("prev", "curr")).alias("id")).distinct()
+    overlap = probes.pair_overlap(pairs.select("prev", "curr"), rows.join(chosen, "id", "left_semi"), "doc_id", "raw")
     return probes.upper_median_of(pairs.join(overlap, ["prev", "curr"]), "overlap_ratio", "a", "b")
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import bound_batches
+
 _DIALECT = {
     "spark": {"EPOCH": "unix_micros(cast(ts as timestamp)) div 1000000", "DIV": "div", "SHA8": "substr(sha1(cast(text as binary)), 1, 8)", "BIG": "bigint"},
     "duckdb": {"EPOCH": "cast(floor(epoch(ts)) as bigint)", "DIV": "//", "SHA8": "substr(sha1(text), 1, 8)", "BIG": "bigint"},
@@ -68,6 +70,7 @@ def with_views(*names: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
