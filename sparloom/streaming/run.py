@@ -13,6 +13,8 @@ from ..functions.schemas import flat, names
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+SLICE = 10_000
+
 
 def _plain(row) -> dict:
     return {k: (None if v is None or isinstance(v, float) and pd.isna(v) else v.item() if hasattr(v, "item") else v) for k, v in row.items()}
@@ -31,9 +33,10 @@ class MachineProcessor(StatefulProcessor):
         held = json.loads(self.value.get()[0]) if self.value.exists() else None
         machine = self.machine(held)
         pdf = pd.concat(list(rows)).sort_values("seq")
-        out = [x for row in pdf.to_dict("records") for x in machine.step(_plain(row))]
+        for start in range(0, len(pdf), SLICE):  # as dicts, rows take many times their size
+            out = [x for row in pdf.iloc[start : start + SLICE].to_dict("records") for x in machine.step(_plain(row))]
+            yield pd.DataFrame(out, columns=names(self.machine.schema))
         self.value.update((json.dumps(machine.state()),))
-        yield pd.DataFrame(out, columns=names(self.machine.schema))
 
     def close(self) -> None:
         pass
@@ -46,14 +49,20 @@ def stream(rows: DataFrame, machine, *keys: str) -> DataFrame:
 
 
 def fold(rows: DataFrame, machine, *keys: str) -> DataFrame:
-    """The same over a finished table."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        made = machine(None)
-        out = [x for row in pdf.sort_values("seq").to_dict("records") for x in made.step(_plain(row))]
-        return pd.DataFrame(out, columns=names(machine.schema))
-
-    return rows.groupBy(*keys).applyInPandas(run, machine.schema)
+    """The same over a finished table: rows arrive sorted, so a worker holds one batch and one machine."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made, of = None, None
+        for pdf in batches:
+            out = []
+            for row in map(_plain, pdf.to_dict("records")):
+                key = tuple(row[k] for k in keys)
+                if made is None or key != of:
+                    made, of = machine(None), key
+                out += made.step(row)
+            yield pd.DataFrame(out, columns=names(machine.schema))
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "seq").mapInPandas(run, machine.schema)
 
 
 def run_available(rows: DataFrame, machine, *keys: str, sink: str, checkpoint: str) -> None:
