@@ -285,7 +285,9 @@ def score_pack(pack: DataFrame, responses: DataFrame) -> DataFrame:
         return replies.score_form(qtype, json.loads(expected), list(given) if given is not None else [])
 
     keys = [c for c in ("tool", "sha", "qid") if c in responses.columns]
-    met = responses.join(pack.select("tool", "sha", "qid", "qtype", "transform", "expected"), keys)
+    asked = pack.select(*(F.col(c).alias(f"p_{c}") if c in keys else c for c in ("tool", "sha", "qid")), "qtype", "transform", "expected")
+    # null-safe: a payload without a tool is one too
+    met = responses.join(asked, [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in keys]).drop(*(f"p_{c}" for c in keys))
     scored = met.withColumn("s", _struct(count, kind)(F.col("qtype"), F.col("expected"), F.col("replies")))
     return scored.select("model", "tool", "sha", "qid", "qtype", "transform", "form", "s.ok", "s.trials")
 

@@ -9,3 +9,11 @@ def test_equal_hashes_of_two_tools_do_not_cross(spark):
     replies = pack.selectExpr("'m' AS model", "tool", "sha", "qid", "'form' AS form", "array(expected) AS replies")
     scored = ops.score_pack(pack, replies).collect()
     assert len(scored) == pack.count() and all(r.ok == r.trials == 1 for r in scored)
+
+
+def test_a_payload_without_tool_is_scored(spark):
+    rows = spark.createDataFrame([(None, "5eed", '[{"id":1},{"id":2}]'), ("b", "5eed", '[{"id":1},{"id":3}]')], "tool string, sha string, raw string")
+    pack = ops.build_pack(rows)
+    replies = pack.selectExpr("'m' AS model", "tool", "sha", "qid", "'form' AS form", "array(expected) AS replies")
+    scored = ops.score_pack(pack, replies).collect()
+    assert len(scored) == pack.count() and {r.tool for r in scored} == {None, "b"} and all(r.ok == r.trials == 1 for r in scored)
