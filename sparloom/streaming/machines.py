@@ -59,7 +59,7 @@ class DiffChain:
     def step(self, row: dict) -> list[tuple]:
         own = (row["session"], row["tool"], row["seq"])
         ok, value = parse(row["raw"])
-        if not ok or self.codec.reserved(value):
+        if not ok or self.codec.reserved_in(row["raw"], value):
             self.base, self.since = None, 0  # the next one has nothing to stand on
             return [(*own, "skipped", row["raw"])]
         full, joined, reason = self.codec.compress(value), bool(row.get("joined")), "no_prior"
