@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,31 +46,29 @@ def attribution(payloads: DataFrame) -> DataFrame:
     return seen.withColumn("how", how).withColumn("server", F.coalesce(own, only)).drop("least", "most")
 
 
-def _fold(rows: pd.DataFrame) -> pd.DataFrame:
-    """Group numbers of timed rows; the span is measured from the group's first row, so it is a fold."""
-    rows = rows.sort_values(["captured_at", "sha"])
-    group, start, last, numbers = -1, None, None, []
-    for at in rows["captured_at"]:
-        if last is None or at - last >= PAUSE_NS or at - start >= SPAN_NS:
-            group, start = group + 1, at
-        last = at
-        numbers.append(group)
-    return rows.assign(group_no=numbers)[["tool", "sha", "captured_at", "group_no"]]
+def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Group numbers of rows in order of tool and time; the span is measured from the group's first row, so it is a fold."""
+    of, group, start, last = None, None, None, None
+    for rows in batches:
+        numbers = []
+        for tool, at in zip(rows["tool"].tolist(), rows["captured_at"].tolist()):
+            if group is None or tool != of:
+                of, group, start = tool, 0, at
+            elif at - last >= PAUSE_NS or at - start >= SPAN_NS:
+                group, start = group + 1, at
+            last = at
+            numbers.append(group)
+        yield rows.assign(group_no=numbers)
 
 
 def group_by_pause(payloads: DataFrame) -> DataFrame:
     """(tool, sha, captured_at, group_no): blocks of one result by pause and span.
 
-    Rows are first cut where the pause is long enough (a window), so the ordered fold
-    gets one burst at a time and never a whole tool.
+    Rows are sorted by the engine and folded as they pass, so a worker holds one batch,
+    however long the rows of a tool follow each other without a pause.
     """
-    order = Window.partitionBy("tool").orderBy("captured_at", "sha")
-    pause = F.col("captured_at") - F.lag("captured_at").over(order)
-    burst = F.sum(F.when(pause.isNull() | (pause >= PAUSE_NS), 1).otherwise(0)).over(order)
-    rows = payloads.where("captured_at is not null").select("tool", "sha", "captured_at").withColumn("burst", burst)
-    folded = rows.groupBy("tool", "burst").applyInPandas(lambda key, pdf: _fold(pdf).assign(burst=key[1]), "tool string, sha string, captured_at long, group_no long, burst long")
-    number = F.dense_rank().over(Window.partitionBy("tool").orderBy("burst", "group_no")) - 1
-    return folded.withColumn("n", number.cast("long")).select("tool", "sha", "captured_at", F.col("n").alias("group_no"))
+    rows = payloads.where("captured_at is not null").select("tool", "sha", "captured_at")
+    return rows.repartition("tool").sortWithinPartitions("tool", "captured_at", "sha").mapInPandas(_numbered, "tool string, sha string, captured_at long, group_no long")
 
 
 def group_by_result(payloads: DataFrame) -> DataFrame:
