@@ -52,6 +52,7 @@ class DiffChain:
         s = state or {}
         self.base, self.args, self.joined, self.since = s.get("base"), s.get("args"), s.get("joined"), s.get("since", 0)
         self.keyframe, self.codec = keyframe, codec or Codec()
+        self.value = None  # the base as parsed, where this machine has parsed it
 
     def state(self) -> dict:
         return {"base": self.base, "args": self.args, "joined": self.joined, "since": self.since}
@@ -60,7 +61,7 @@ class DiffChain:
         own = (row["session"], row["tool"], row["seq"])
         ok, value = parse(row["raw"])
         if not ok or self.codec.reserved_in(row["raw"], value):
-            self.base, self.since = None, 0  # the next one has nothing to stand on
+            self.base, self.value, self.since = None, None, 0  # the next one has nothing to stand on
             return [(*own, "skipped", row["raw"])]
         full, joined, reason = self.codec.compress(value), bool(row.get("joined")), "no_prior"
         out = full
@@ -69,13 +70,14 @@ class DiffChain:
         elif self.base is not None and 0 < self.keyframe <= self.since:
             reason = "keyframe"
         elif self.base is not None:
-            text = delta.wire(parse(self.base)[1], value, self.codec.diff, row["tool"])
+            prior = self.value if self.value is not None else parse(self.base)[1]
+            text = delta.wire(prior, value, self.codec.diff, row["tool"])
             if text is not None and chars4(text) < chars4(full):
                 out, reason = text, "emitted"
             else:
                 reason = "not_smaller_same_args" if self.args == row.get("args") else "not_smaller_diff_args"
         self.since = self.since + 1 if reason == "emitted" else 0
-        self.base, self.args, self.joined = row["raw"], row.get("args"), joined
+        self.base, self.value, self.args, self.joined = row["raw"], value, row.get("args"), joined
         return [(*own, reason, out)]
 
 

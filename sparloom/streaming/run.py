@@ -30,11 +30,15 @@ class MachineProcessor(StatefulProcessor):
         self.value = handle.getValueState("machine", flat("state string"))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        held = json.loads(self.value.get()[0]) if self.value.exists() else None
-        machine = self.machine(held)
-        pdf = pd.concat(list(rows)).sort_values("seq")
+        held = self.value.get()  # each call is a message to the engine, so it isn't asked first whether there is one
+        machine = self.machine(json.loads(held[0]) if held is not None else None)
+        parts = list(rows)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts)
+        if not pdf["seq"].is_monotonic_increasing:
+            pdf = pdf.sort_values("seq")
+        columns = [pdf[c].tolist() for c in pdf.columns]
         for start in range(0, len(pdf), SLICE):  # as dicts, rows take many times their size
-            out = [x for row in pdf.iloc[start : start + SLICE].to_dict("records") for x in machine.step(_plain(row))]
+            out = [x for row in zip(*(c[start : start + SLICE] for c in columns)) for x in machine.step(_plain(dict(zip(pdf.columns, row))))]
             yield pd.DataFrame(out, columns=names(self.machine.schema))
         self.value.update((json.dumps(machine.state()),))
 
