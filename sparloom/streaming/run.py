@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.schemas import flat, names
+from .ordered import in_order
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-SLICE = 10_000
+# Rows and characters that a key gives out at once.
+SLICE, SLICE_CHARS = 10_000, 8 << 20
 
 
 def _plain(row) -> dict:
@@ -32,14 +34,15 @@ class MachineProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
         held = self.value.get()  # each call is a message to the engine, so it isn't asked first whether there is one
         machine = self.machine(json.loads(held[0]) if held is not None else None)
-        parts = list(rows)
-        pdf = parts[0] if len(parts) == 1 else pd.concat(parts)
-        if not pdf["seq"].is_monotonic_increasing:
-            pdf = pdf.sort_values("seq")
-        columns = [pdf[c].tolist() for c in pdf.columns]
-        for start in range(0, len(pdf), SLICE):  # as dicts, rows take many times their size
-            out = [x for row in zip(*(c[start : start + SLICE] for c in columns)) for x in machine.step(_plain(dict(zip(pdf.columns, row))))]
-            yield pd.DataFrame(out, columns=names(self.machine.schema))
+        out, chars = [], 0
+        for row in in_order(rows, "seq"):
+            for made in machine.step(_plain(row)):
+                out.append(made)
+                chars += sum(len(x) for x in made if isinstance(x, str))
+            if len(out) >= SLICE or chars >= SLICE_CHARS:
+                yield pd.DataFrame(out, columns=names(self.machine.schema))
+                out, chars = [], 0
+        yield pd.DataFrame(out, columns=names(self.machine.schema))
         self.value.update((json.dumps(machine.state()),))
 
     def close(self) -> None:
